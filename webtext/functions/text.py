@@ -18,11 +18,13 @@ MAX_INPUT_WORDS = 1024
 MAX_SUMMARY_WORDS = 800
 MIN_SUMMARY_WORDS = 150
 MIN_DOCUMENT_WORDS = 100
-MAX_GLOSSARY = 1000
+MAX_GLOSSARY = 200
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(text, P.WS + "+"), lambda w: w != "")
+    """Whitespace-separated words, without empty ones."""
+    spaced = F.translate(text, P.WS_CHARS, " " * len(P.WS_CHARS))
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def word_count(text: Column) -> Column:
@@ -48,30 +50,31 @@ def truncate_words(text: Column, limit: int = MAX_INPUT_WORDS) -> Column:
 
 def chunks(text: Column, size: int = CHUNK_WORDS) -> Column:
     """Array of single-spaced chunks of at most ``size`` words; empty for a
-    text without words."""
-    w = words(text)
-    return F.transform(chunk_arrays(w, size), lambda c: F.array_join(c, " "))
+    text without words.
 
-
-def chunk_arrays(w: Column, size: int = CHUNK_WORDS) -> Column:
-    starts = F.when(F.size(w) > 0, F.sequence(F.lit(1), F.size(w), F.lit(size))).otherwise(
-        F.array().cast("array<int>")
-    )
-    return F.transform(starts, lambda i: F.slice(w, i, F.lit(size)))
+    One scan of the single-spaced text; slicing an array of words would copy
+    it for every chunk.
+    """
+    single_spaced = F.array_join(words(text), " ")
+    return F.regexp_extract_all(single_spaced, F.lit(rf"[^ ]++(?: [^ ]++){{0,{size - 1}}}"), F.lit(0))
 
 
 def translate(text: Column, glossary: Mapping[str, str], size: int = CHUNK_WORDS) -> Column:
     """Word-for-word glossary translation, one line per chunk; NULL for blank
     text. Words outside the glossary pass through.
 
-    The glossary becomes a literal in the plan, so its size is checked.
+    The glossary becomes a literal that is searched for every word, so its size
+    is checked; ``operators.glossary`` takes a larger one as a table.
     """
     if not 0 < len(glossary) <= MAX_GLOSSARY:
         raise ValueError(f"glossary must hold 1 to {MAX_GLOSSARY} entries, got {len(glossary)}")
     table = F.create_map(*[F.lit(x) for pair in glossary.items() for x in pair])
-    out = F.transform(words(text), lambda w: F.coalesce(F.try_element_at(table, w), w))
-    lines = F.transform(chunk_arrays(out, size), lambda c: F.array_join(c, " "))
-    return F.when(F.size(lines) > 0, F.array_join(lines, "\n"))
+
+    def line(chunk: Column) -> Column:
+        out = F.transform(F.split(chunk, " "), lambda w: F.coalesce(F.try_element_at(table, w), w))
+        return F.array_join(out, " ")
+
+    return F.nullif(F.array_join(F.transform(chunks(text, size), line), "\n"), F.lit(""))
 
 
 def segments(text: Column) -> Column:

@@ -94,29 +94,33 @@ def distinct_urls(*frames: DataFrame) -> DataFrame:
 def minus(urls: DataFrame, *others: DataFrame) -> DataFrame:
     """Distinct URLs of ``urls`` that are in none of ``others``.
 
-    One anti-join against the union of the other sets. The left side is made
-    distinct first, on the map side, so a repeated URL is one row when joined.
+    One grouping over the marked union: repeated URLs shrink to one row per
+    task before the only shuffle, so a URL that makes up much of either side
+    weighs no more than any other.
     """
-    taken = union_all(*[o.select("url") for o in others])
-    return urls.select("url").distinct().join(taken, "url", "left_anti")
+    marked = urls.select("url", F.lit(False).alias("taken"))
+    for other in others:
+        marked = marked.unionByName(other.select("url", F.lit(True).alias("taken")))
+    return marked.groupBy("url").agg(F.max("taken").alias("taken")).where(~F.col("taken")).select("url")
 
 
 def crawl_seeds(known: DataFrame, start_url: str) -> DataFrame:
     """All known URLs, or the start URL when nothing is known."""
-    spark = known.sparkSession
-    start = spark.createDataFrame([(start_url,)], "url string")
-    any_known = known.limit(1).select(F.lit(True).alias("_any"))
-    only_if_none = start.join(any_known, F.lit(True), "left_anti")
-    return known.select("url").distinct().unionByName(only_if_none)
+    if known.isEmpty():
+        return known.sparkSession.createDataFrame([(start_url,)], "url string")
+    return known.select("url").distinct()
 
 
 def first_seen(visits: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """``url, visit``: the visit on which each new link was first found.
 
-    ``visits`` has ``visit, link``; links already known are not new.
+    ``visits`` has ``visit, link`` with visits counted from 1; links already
+    known count as seen at visit 0 and are not new.
     """
-    seen = visits.groupBy(F.col("link").alias("url")).agg(F.min("visit").alias("visit"))
-    return seen if known is None else seen.join(known.select("url"), "url", "left_anti")
+    seen = visits.select(F.col("link").alias("url"), F.col("visit").cast("bigint").alias("visit"))
+    if known is not None:
+        seen = seen.unionByName(known.select("url", F.lit(0).cast("bigint").alias("visit")))
+    return seen.groupBy("url").agg(F.min("visit").alias("visit")).where(F.col("visit") > 0)
 
 
 def new_links_per_visit(

@@ -92,7 +92,7 @@ def running_total(
     Rows are summed inside blocks of ``block`` consecutive positions, and block
     totals are carried forward, so one hot key is shared by many tasks.
     """
-    blocked = df.withColumn("_block", F.floor(F.col(position) / block))
+    blocked = df.withColumn("_block", F.expr(f"{position} div {block}"))
     inside = Window.partitionBy(*keys, "_block").orderBy(position).rowsBetween(
         Window.unboundedPreceding, 0
     )

@@ -28,12 +28,9 @@ def _run_starts(items: Column, field: str) -> Column:
     )
 
 
-def _run_slices(items: Column, starts: Column) -> Column:
-    """The runs of a sorted array, given where they start."""
-    return F.transform(
-        starts,
-        lambda s, r: F.slice(items, s, F.coalesce(F.get(starts, r + 1), F.size(items) + 1) - s),
-    )
+def _run_ends(items: Column, starts: Column) -> Column:
+    """Last position of each run, aligned with ``starts``."""
+    return F.transform(starts, lambda s, r: F.coalesce(F.get(starts, r + 1) - 1, F.size(items)))
 
 
 def summarize(
@@ -57,17 +54,22 @@ def summarize(
     out = out.withColumn("_occ", F.sort_array(occurrences))
     out = out.withColumn("_starts", _run_starts(F.col("_occ"), "w"))
     # Each occurrence is worth the length of its run; sorted back by sentence.
-    worth = F.flatten(
-        F.transform(
-            _run_slices(F.col("_occ"), F.col("_starts")),
-            lambda run: F.transform(run, lambda o: F.struct(o["i"].alias("i"), F.size(run).alias("f"))),
-        )
+    lengths = F.zip_with(
+        F.col("_starts"), _run_ends(F.col("_occ"), F.col("_starts")), lambda s, e: e - s + 1
+    )
+    worth = F.zip_with(
+        F.col("_occ"),
+        F.flatten(F.transform(lengths, lambda n: F.array_repeat(n, n))),
+        lambda o, n: F.struct(o["i"].alias("i"), n.alias("f")),
     )
     out = out.withColumn("_occ", F.sort_array(worth))
     out = out.withColumn("_starts", _run_starts(F.col("_occ"), "i"))
-    totals = F.transform(
-        _run_slices(F.col("_occ"), F.col("_starts")),
-        lambda run: F.aggregate(run, F.lit(0).cast("bigint"), lambda acc, o: acc + o["f"]),
+    totals = F.zip_with(
+        F.col("_starts"),
+        _run_ends(F.col("_occ"), F.col("_starts")),
+        lambda s, e: F.aggregate(
+            F.sequence(s, e), F.lit(0).cast("bigint"), lambda acc, k: acc + F.get(F.col("_occ"), k - 1)["f"]
+        ),
     )
     ranked = F.sort_array(
         F.zip_with(

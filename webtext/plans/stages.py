@@ -64,19 +64,25 @@ def crawl_site(
     """
     spark = pages.sparkSession
     known = spark.createDataFrame([], "url string") if known is None else known
-    found = links.page_links(pages, site).select(U.normalize(F.col("url")).alias("url"), "link")
-    found = materialize(found, "links")
-    held = pages.select(U.normalize(F.col("url")).alias("url")).distinct()
-    held = held if failed is None else links.minus(held, failed)
+    per_page = links.link_source(pages.withColumn("url", U.normalize(F.col("url")))).select(
+        "url",
+        "page_id",
+        links.internal_links(links.all_links(F.col("base"), F.col("html")), site).alias("links"),
+    )
+    # Of several copies of a page the first one counts, as one visit loads one copy.
+    held = materialize(per_page.groupBy("url").agg(F.min_by("links", "page_id").alias("links")), "links")
+    if failed is not None:
+        held = held.join(failed.select("url").distinct(), "url", "left_anti")
+    found = held.select("url", F.explode("links").alias("link"))
     seeds = links.crawl_seeds(known, start_url)
-    reached = bounded_crawl(found, seeds, failed, max_pages).drop("success")
-    loaded = held.withColumn("_held", F.lit(True))
+    reached = bounded_crawl(found, seeds, max_pages=max_pages).drop("success")
+    loaded = held.select("url", F.lit(True).alias("_held"))
     reached = reached.join(loaded, "url", "left").select(
         "url", "level", F.col("_held").isNotNull().alias("success")
     )
     visited = number_rows(reached, "level", "url", name="visit").withColumn("visit", F.col("visit") + 1)
     visited_links = (
-        found.join(visited.where("success").select("url", "visit"), "url").select("visit", "link").distinct()
+        found.join(visited.where("success").select("url", "visit"), "url").select("visit", "link")
     )
     urls = links.distinct_urls(known, visited_links.select(F.col("link").alias("url")))
     return Crawl(visited, visited_links, urls, outcomes.crawl_summary(visited, urls, output_file))
@@ -85,13 +91,16 @@ def crawl_site(
 def scrape(worklist: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Documents of the listed URLs, and ``url, error, success`` per URL.
 
-    A URL without a page, or without a host, failed. The page table is only
-    filtered by the list; outcomes compare URLs alone, without the HTML.
+    A URL without a page, or without a host, failed. Of several copies of a
+    page the first is taken. The copies are chosen and the outcomes compared
+    by URL and page id alone; the page table itself is only filtered.
     """
     wanted = worklist.select("url").distinct()
     usable = wanted.where(U.domain(F.col("url")).isNotNull())
-    docs = documents(pages.join(usable, "url", "left_semi"))
-    held = pages.select("url").distinct().withColumn("_held", F.lit(True))
+    copies = pages.groupBy("url").agg(F.min("page_id").alias("page_id"))
+    chosen = copies.join(usable, "url", "left_semi")
+    docs = documents(pages.join(chosen, ["url", "page_id"], "left_semi"))
+    held = copies.select("url", F.lit(True).alias("_held"))
     error = F.when(U.domain(F.col("url")).isNull(), "malformed url").when(
         F.col("_held").isNull(), "page not loaded"
     )
@@ -157,7 +166,7 @@ def pipeline(
     several stages read them.
     """
     crawl = crawl_site(pages, site, start_url, known, failed, max_pages)
-    by_link = pages.select(U.normalize(F.col("url")).alias("url"), "html")
+    by_link = pages.withColumn("url", U.normalize(F.col("url")))
     by_link = by_link if failed is None else by_link.join(failed.select("url").distinct(), "url", "left_anti")
     docs, scraped = scrape(crawl.urls, by_link)
     docs = materialize(docs, "documents")

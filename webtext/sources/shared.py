@@ -13,6 +13,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SPREAD_BYTES = 8 << 20
+
 
 def work_dir(spark: SparkSession, label: str) -> str:
     """New, not yet existing folder path under ``spark.checkpoint.dir``.
@@ -36,14 +38,15 @@ def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give a scan that has fewer splits than the cluster has cores one
-    partition per core; a scan with enough splits is returned as it is.
+    """Give a small input one partition per core; a larger one is left alone.
 
-    For CPU-heavy projections over a few small files. At scale the scan already
-    has more splits than cores, and no shuffle is added.
+    For CPU-heavy projections over one or two small files, which would run in
+    as many tasks. The size is the optimizer's estimate, so nothing is run to
+    find it; from ``SPREAD_BYTES`` per core on no shuffle is added.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * SPREAD_BYTES else df
 
 
 def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
