@@ -14,6 +14,7 @@ from webtext.functions import identity as D
 from webtext.functions import text as T
 from webtext.functions import urls as U
 from webtext.operators import chunks, crawl, inference, links, ordering, outcomes, pacing
+from webtext.operators.glossary import translate_with_table
 from webtext.operators.summary import summarize
 from webtext.plans import stages
 from webtext.sources import readers, writers
@@ -34,7 +35,12 @@ def stamp():
 
 def register(name: str, sql: str):
     def add(query: Query) -> Query:
-        QUERIES[name] = query
+        def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # The tables hold zone-less times, which the SQL reads as UTC.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return query(spark, sf_dir)
+
+        QUERIES[name] = in_utc
         SQL[name] = sql
         return query
 
@@ -242,7 +248,7 @@ def run_stamps(spark, d):
 @register(
     "report_json",
     """SELECT to_json({'urls_count': count(DISTINCT url), 'pages_visited': count(*),
-    'failed_urls': count(*) FILTER (page_id % 11 = 0), 'output_file': 'urls.json'}) AS report FROM ("""
+    'failed_urls': count(*) FILTER (page_id % 11 = 0), 'output_file': 'urls.json'})::VARCHAR AS report FROM ("""
     + I.PAGE_URLS + ")",
 )
 def report_json(spark, d):
@@ -266,7 +272,7 @@ def blank_text(spark, d):
     return blanked(spark, d).select("doc_id", T.blank_to_null(F.col("text")).alias("text"))
 
 
-@register("min_words", f"SELECT doc_id, {S.n_words('text')} AS n_words FROM documents WHERE {S.n_words('text')} >= 100")
+@register("min_words", f"SELECT doc_id, {S.n_words('text')}::INTEGER AS n_words FROM documents WHERE {S.n_words('text')} >= 100")
 def min_words(spark, d):
     counted = compute_once(
         spread(I.table(spark, d, "documents").select("doc_id", "text")), n_words=T.word_count(F.col("text"))
@@ -316,7 +322,7 @@ def _add_step(n: int, name: str) -> None:
 for _n, (_name, _) in enumerate(STEPS, start=1):
     _add_step(_n, _name)
 
-SQL_DOCUMENTS = f"""SELECT {S.uuid('url')} AS document_id, url, title, html AS content, {S.n_words('html')} AS n_words
+SQL_DOCUMENTS = f"""SELECT {S.uuid('url')} AS document_id, url, title, html AS content, {S.n_words('html')}::INTEGER AS n_words
     FROM ({S.chain(f"SELECT url, {S.slug('url')} || ' ' || {S.title('html')} AS title, html FROM pages",
                    'html', *S.HTML_STEPS, *S.TEXT_STEPS, keep='url, title')})"""
 
@@ -358,7 +364,8 @@ def crawl_seeds(spark, d):
 
 
 def first_page(spark, d) -> DataFrame:
-    return I.page_urls(spark, d).agg(F.min_by("url", "page_id").alias("url"))
+    """First page that does not fail."""
+    return I.page_urls(spark, d).where("page_id % 11 <> 0").agg(F.min_by("url", "page_id").alias("url"))
 
 
 @register(
@@ -366,7 +373,7 @@ def first_page(spark, d) -> DataFrame:
     f"""WITH RECURSIVE edges AS MATERIALIZED (
       SELECT * FROM ({I.LINKS}) WHERE url NOT IN ({I.FAILED})),
     walk AS (
-      SELECT arg_min(url, page_id) AS url, 0 AS level FROM ({I.PAGE_URLS})
+      SELECT arg_min(url, page_id) AS url, 0 AS level FROM ({I.PAGE_URLS}) WHERE page_id % 11 <> 0
       UNION
       SELECT e.link, w.level + 1 FROM walk w JOIN edges e ON w.url = e.url WHERE w.level < 60)
     SELECT url, min(level) AS level, url NOT IN ({I.FAILED}) AS success FROM walk GROUP BY url""",
@@ -375,6 +382,23 @@ def bounded_crawl(spark, d):
     return crawl.bounded_crawl(I.link_table(spark, d), first_page(spark, d), I.failed_urls(spark, d))
 
 
+@register(
+    "bounded_crawl_capped",
+    f"""WITH RECURSIVE edges AS MATERIALIZED (SELECT * FROM ({I.LINKS})),
+    walk AS (
+      SELECT arg_min(url, page_id) AS url, 0 AS level FROM ({I.PAGE_URLS}) WHERE page_id % 11 <> 0
+      UNION
+      SELECT e.link, w.level + 1 FROM walk w JOIN edges e ON w.url = e.url WHERE w.level < 60)
+    SELECT url, level, true AS success FROM (
+      SELECT url, min(level) AS level, row_number() OVER (ORDER BY min(level), url) AS visit FROM walk GROUP BY url)
+    WHERE visit <= (SELECT count(*) // 2 FROM pages)""",
+)
+def bounded_crawl_capped(spark, d):
+    """The cap is half the number of pages, so it falls inside a round."""
+    half = pages(spark, d).count() // 2
+    return crawl.bounded_crawl(I.link_table(spark, d), first_page(spark, d), max_pages=half)
+
+
 @register(
     "stage_lineage",
     f"""SELECT document_id, has_document, has_label, has_summary, has_translation, array_to_string(list_filter([
@@ -521,7 +545,7 @@ def robots_outcome(spark, d):
     f"""SELECT to_json({{'timestamp': '20250422_150845',
       'crawler': {{'urls_count': c.u, 'pages_visited': c.p, 'failed_urls': c.f, 'output_file': 'urls.json'}},
       'scraper': {{'successful': s.ok, 'failed': s.bad}}, 'translator': {{'processed': t.ok, 'failed': t.bad}},
-      'speech': {{'mp3_count': t.ok + t.bad}}}}) AS report
+      'speech': {{'mp3_count': t.ok + t.bad}}}})::VARCHAR AS report
     FROM (SELECT count(DISTINCT url) AS u, count(*) AS p, count(*) FILTER (page_id % 11 = 0) AS f
           FROM ({I.PAGE_URLS})) c,
       (SELECT count(*) FILTER (error IS NULL) AS ok, count(*) FILTER (error IS NOT NULL) AS bad
@@ -555,7 +579,7 @@ def politeness_wait(spark, d):
 
 @register(
     "retry_resolution",
-    f"""SELECT url, coalesce(min(n) FILTER (success), max(n)) AS attempts, bool_or(success) AS success FROM (
+    f"""SELECT url, coalesce(min(n) FILTER (success), max(n))::INTEGER AS attempts, bool_or(success) AS success FROM (
       SELECT *, row_number() OVER (PARTITION BY url ORDER BY ts, event_id) AS n FROM ({I.ATTEMPTS}))
     WHERE n <= 3 GROUP BY url""",
 )
@@ -600,7 +624,7 @@ def recent_pages(spark, d):
 
 
 # --- text -----------------------------------------------------------------
-SQL_CHUNKS = f"""SELECT document_id, idx - 1 AS chunk_idx, array_to_string(w[(idx - 1) * 500 + 1 : idx * 500], ' ') AS chunk
+SQL_CHUNKS = f"""SELECT document_id, (idx - 1)::INTEGER AS chunk_idx, array_to_string(w[(idx - 1) * 500 + 1 : idx * 500], ' ') AS chunk
     FROM (SELECT document_id, w, unnest(range(1, (len(w) + 499) // 500 + 1)) AS idx
       FROM (SELECT document_id, {S.words('text')} AS w FROM ({I.DOCS})))"""
 
@@ -612,7 +636,7 @@ def chunk_words(spark, d):
 
 @register(
     "rejoin_chunks",
-    f"""SELECT document_id, chunk_idx // 10000 AS part, string_agg(chunk, chr(10) ORDER BY chunk_idx) AS text,
+    f"""SELECT document_id, (chunk_idx // 10000)::BIGINT AS part, string_agg(chunk, chr(10) ORDER BY chunk_idx) AS text,
     count(*) AS pieces FROM ({SQL_CHUNKS}) GROUP BY 1, 2""",
 )
 def rejoin_chunks(spark, d):
@@ -629,7 +653,7 @@ def rejoin_turns(spark, d):
     return chunks.rejoin(I.table(spark, d, "conversations"), "conv_id", "turn", "text", "text")
 
 
-SQL_SEGMENTS = f"""SELECT document_id, idx - 1 AS seg_idx, printf('%04d.wav', idx - 1) AS seg_name, s[idx] AS text
+SQL_SEGMENTS = f"""SELECT document_id, (idx - 1)::INTEGER AS seg_idx, printf('%04d.wav', idx - 1) AS seg_name, s[idx] AS text
     FROM (SELECT document_id, s, unnest(range(1, len(s) + 1)) AS idx
       FROM (SELECT document_id, {S.rall('text', '[^.!?' + chr(92) + 'n]+[.!?]*', 0)} AS s FROM ({I.DOCS})))"""
 
@@ -641,7 +665,7 @@ def speech_segments(spark, d):
 
 @register(
     "speech_playlist",
-    f"""SELECT document_id, seg_idx // 10000 AS part, string_agg(seg_name, chr(10) ORDER BY seg_idx) AS playlist,
+    f"""SELECT document_id, (seg_idx // 10000)::BIGINT AS part, string_agg(seg_name, chr(10) ORDER BY seg_idx) AS playlist,
     count(*) AS pieces FROM ({SQL_SEGMENTS}) GROUP BY 1, 2""",
 )
 def speech_playlist(spark, d):
@@ -690,6 +714,27 @@ def glossary_translate(spark, d):
     return done.where("success").select("document_id", "text")
 
 
+SQL_EN_WORDS = f"""SELECT DISTINCT w AS word, '_' || w AS translation FROM (
+      SELECT unnest({S.words('text')}) AS w FROM documents WHERE lang = 'en') WHERE length(w) > 3"""
+
+
+@register(
+    "glossary_table_translate",
+    f"""SELECT document_id, (chunk_idx // 10000)::BIGINT AS part, string_agg(line, chr(10) ORDER BY chunk_idx) AS text,
+      count(*) AS pieces FROM (
+      SELECT document_id, chunk_idx, string_agg(coalesce(translation, word), ' ' ORDER BY pos) AS line FROM (
+        SELECT document_id, chunk_idx, unnest(string_split(chunk, ' ')) AS word,
+          generate_subscripts(string_split(chunk, ' '), 1) AS pos FROM ({SQL_CHUNKS}))
+      LEFT JOIN ({SQL_EN_WORDS}) USING (word) GROUP BY document_id, chunk_idx) GROUP BY 1, 2""",
+)
+def glossary_table_translate(spark, d):
+    """Glossary taken from the texts themselves: the longer words of the English documents."""
+    english = I.table(spark, d, "documents").where("lang = 'en'")
+    found = english.select(F.explode(T.words(F.col("text"))).alias("word")).where(F.length("word") > 3).distinct()
+    table = found.withColumn("translation", F.concat(F.lit("_"), F.col("word")))
+    return translate_with_table(spread(I.docs(spark, d)), table)
+
+
 SQL_MODEL = f"""SELECT document_id::VARCHAR AS document_id, CASE WHEN n >= 100 THEN replace(text, 'e', 'E') END AS output,
     CASE WHEN n = 0 THEN 'empty text' WHEN n < 100 THEN 'too short: ' || n END AS error, n >= 100 AS success
     FROM (SELECT doc_id AS document_id, text, {S.n_words('text')} AS n FROM ({SQL_BLANKED}))"""

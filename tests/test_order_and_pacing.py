@@ -6,7 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from webtext.operators import links, ordering, pacing
+from webtext.operators import crawl, links, ordering, pacing
 from webtext.operators.crawl import bounded_crawl, discovery_curve
 
 
@@ -108,8 +108,9 @@ def walk(edges, seeds, failed, cap):
     return out
 
 
-@pytest.mark.parametrize("cap", [None, 1, 37, 100, 1000])
-def test_crawl_equals_walk(spark, cap):
+@pytest.mark.parametrize("cap, large", [(None, 1000), (None, 10), (1, 1000), (37, 0), (100, 1000), (1000, 1000)])
+def test_crawl_equals_walk(spark, monkeypatch, cap, large):
+    monkeypatch.setattr(crawl, "LARGE_VISITED", large)
     rng = random.Random(6)
     names = [f"u{i:03d}" for i in range(400)]
     edges = defaultdict(set)

@@ -111,6 +111,19 @@ def test_work_dir_follows_the_setting(spark):
     assert root is None or made.startswith(root)
 
 
+class FakeSession:
+    def __init__(self, master, setting=None):
+        self.conf = {"spark.checkpoint.dir": setting}
+        self.sparkContext = type("Context", (), {"master": master})
+
+
+def test_work_dir_without_the_setting():
+    assert "webtext-" in shared.work_dir(FakeSession("local[2]"), "x")
+    with pytest.raises(ValueError):
+        shared.work_dir(FakeSession("yarn"), "x")
+    assert shared.work_dir(FakeSession("yarn", "hdfs://n/c/"), "x").startswith("hdfs://n/c/x-")
+
+
 def test_document_id_is_the_same_every_time(spark):
     ids = [spark.range(1).select(D.document_id(F.lit("http://h/a"))).first()[0] for _ in range(2)]
     assert ids[0] == ids[1] and [len(p) for p in ids[0].split("-")] == [8, 4, 4, 4, 12]

@@ -28,7 +28,8 @@ def words(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    return F.size(words(text))
+    """Number of words; 0 for NULL."""
+    return F.coalesce(F.size(words(text)), F.lit(0))
 
 
 def blank_to_null(text: Column) -> Column:

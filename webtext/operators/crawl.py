@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from webtext.operators.links import minus
 from webtext.operators.ordering import first_rows, running_total
-from webtext.sources.shared import materialize, work_dir
+from webtext.sources.shared import absent_from, materialize, work_dir
 
 SAVE_EVERY = 5
+# Beyond this many visited pages a round compares its links in two steps.
+LARGE_VISITED = 1_000_000
 
 
 def bounded_crawl(
@@ -25,10 +27,11 @@ def bounded_crawl(
     visited but adds no links.
 
     Each round is written to the work folder, so the plan of round n does not
-    contain round n-1. Edges are joined on a frontier of distinct URLs: Spark
-    broadcasts a frontier that is small enough by its size on disk, and beyond
-    that the semi-join shuffles, where adaptive execution splits a page that
-    holds a large share of the links.
+    contain round n-1, and the next frontier has a known size: Spark broadcasts
+    it when that is small, so the edges are only scanned. Beyond that the
+    semi-join shuffles, and adaptive execution splits a page that holds a large
+    share of the links. Once many pages are visited, the links found are
+    written too, so that a small round does not shuffle all visited pages.
     """
     spark = links.sparkSession
     root = work_dir(spark, "crawl")
@@ -37,8 +40,15 @@ def bounded_crawl(
         edges = edges.join(failed.select("url").distinct(), "url", "left_anti")
     edges = materialize(edges, "edges", f"{root}/edges")
 
+    def read(*paths: str) -> DataFrame:
+        return spark.read.schema("url string, level int").parquet(*paths)
+
+    def unvisited(urls: DataFrame, visited: DataFrame) -> DataFrame:
+        if total <= LARGE_VISITED:
+            return minus(urls, visited)
+        return absent_from(materialize(urls.distinct(), "found", f"{root}/found-{level:06d}"), visited, "url")
+
     paths: list[str] = []
-    visited_schema = "url string, level int"
     total, level, found = 0, 0, seeds.select("url").distinct()
     while max_pages is None or total < max_pages:
         size = Observation()
@@ -49,21 +59,16 @@ def bounded_crawl(
         if rows == 0:
             break
         if max_pages is not None and total + rows > max_pages:
-            full = spark.read.schema(visited_schema).parquet(path)
-            path = f"{root}/last"
-            materialize(first_rows(full, max_pages - total, "url"), "last", path)
             rows = max_pages - total
+            kept = first_rows(read(path), rows, "url")
+            path = f"{root}/last"
+            materialize(kept, "last", path)
         paths.append(path)
         total, level = total + rows, level + 1
-        frontier = spark.read.schema(visited_schema).parquet(path).select("url")
-        visited = spark.read.schema(visited_schema).parquet(*paths)
-        next_links = edges.join(frontier, "url", "left_semi").select(F.col("link").alias("url"))
-        found = minus(next_links, visited)
+        next_links = edges.join(read(path).select("url"), "url", "left_semi")
+        found = unvisited(next_links.select(F.col("link").alias("url")), read(*paths).select("url"))
 
-    if not paths:
-        visited = spark.createDataFrame([], visited_schema)
-    else:
-        visited = spark.read.schema(visited_schema).parquet(*paths)
+    visited = read(*paths) if paths else spark.createDataFrame([], "url string, level int")
     if failed is None:
         return visited.withColumn("success", F.lit(True))
     marks = failed.select("url").distinct().withColumn("_failed", F.lit(True))

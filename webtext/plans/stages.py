@@ -88,16 +88,20 @@ def crawl_site(
     return Crawl(visited, visited_links, urls, outcomes.crawl_summary(visited, urls, output_file))
 
 
-def scrape(worklist: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+def scrape(
+    worklist: DataFrame, pages: DataFrame, failed: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Documents of the listed URLs, and ``url, error, success`` per URL.
 
-    A URL without a page, or without a host, failed. Of several copies of a
-    page the first is taken. The copies are chosen and the outcomes compared
-    by URL and page id alone; the page table itself is only filtered.
+    A URL without a page, without a host, or in ``failed``, failed. Of several
+    copies of a page the first is taken. The copies are chosen and the outcomes
+    compared by URL and page id alone; the page table itself is only filtered.
     """
     wanted = worklist.select("url").distinct()
     usable = wanted.where(U.domain(F.col("url")).isNotNull())
     copies = pages.groupBy("url").agg(F.min("page_id").alias("page_id"))
+    if failed is not None:
+        copies = copies.join(failed.select("url").distinct(), "url", "left_anti")
     chosen = copies.join(usable, "url", "left_semi")
     docs = documents(pages.join(chosen, ["url", "page_id"], "left_semi"))
     held = copies.select("url", F.lit(True).alias("_held"))
@@ -167,8 +171,7 @@ def pipeline(
     """
     crawl = crawl_site(pages, site, start_url, known, failed, max_pages)
     by_link = pages.withColumn("url", U.normalize(F.col("url")))
-    by_link = by_link if failed is None else by_link.join(failed.select("url").distinct(), "url", "left_anti")
-    docs, scraped = scrape(crawl.urls, by_link)
+    docs, scraped = scrape(crawl.urls, by_link, failed)
     docs = materialize(docs, "documents")
     texts = docs.select("document_id", F.col("content").alias("text"))
     translated = translations(texts, glossary)

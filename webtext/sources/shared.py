@@ -24,7 +24,7 @@ def work_dir(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="webtext-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
@@ -57,3 +57,14 @@ def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
     """
     entry = F.struct(*[c.alias(name) for name, c in columns.items()])
     return df.select("*", F.inline(F.array(entry)))
+
+
+def absent_from(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is not in ``table``, for a small ``df`` and a
+    table that keeps growing.
+
+    The table is first cut to the keys of ``df``: while these are small enough
+    for Spark to broadcast, the table is scanned but not shuffled.
+    """
+    hits = table.select(key).join(df.select(key), key, "left_semi")
+    return df.join(hits, key, "left_anti")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from webtext.functions import identity as I
 from webtext.operators.ordering import sorted_urls
 from webtext.sources.readers import exists
+from webtext.sources.shared import absent_from, materialize
 
 SINGLE_OBJECT_URLS = 1_000_000
 METADATA = "id string, title string, url string, created_at timestamp"
@@ -60,7 +61,9 @@ def _new_metadata(metadata: DataFrame, present: DataFrame | None) -> DataFrame:
     """Earliest row per id, without ids already present."""
     rows = metadata.groupBy("id").agg(F.min(F.struct("created_at", "title", "url")).alias("m"))
     rows = rows.select("id", "m.title", "m.url", "m.created_at")
-    return rows if present is None else rows.join(present.select("id"), "id", "left_anti")
+    if present is None:
+        return rows
+    return absent_from(materialize(rows, "metadata-batch"), present, "id")
 
 
 def metadata_problems(metadata: DataFrame) -> DataFrame:

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from webtext.functions import identity as I
-from webtext.operators.links import minus, page_links
+from webtext.operators.links import page_links
 from webtext.operators.pacing import politeness_wait
 from webtext.plans.stages import documents, page_metadata
-from webtext.sources.shared import materialize
+from webtext.sources.shared import absent_from, materialize
 from webtext.streaming.batches import read_batch, read_before, write_batch
 
 URLS = "url string"
@@ -37,10 +37,12 @@ def discover_links(
     """Write each internal link of the arriving pages once, across restarts."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        found = page_links(batch, site).select(F.col("link").alias("url"))
-        seen = read_before(spark, out, URLS, batch_id)
-        write_batch(minus(found, seen, *([] if known is None else [known])), out, batch_id)
+        found = page_links(batch, site).select(F.col("link").alias("url")).distinct().persist()
+        fresh = absent_from(found, read_before(batch.sparkSession, out, URLS, batch_id), "url")
+        if known is not None:
+            fresh = absent_from(fresh, known, "url")
+        write_batch(fresh, out, batch_id)
+        found.unpersist()
 
     return _start(pages, on_batch, checkpoint, trigger)
 
@@ -84,7 +86,7 @@ def clean_stream(
         batch = batch.withColumn("document_id", I.document_id(F.col("url")))
         # Ids are compared first, without the HTML; of one id the first page wins.
         winners = batch.groupBy("document_id").agg(F.min("page_id").alias("page_id"))
-        winners = winners.join(present, "document_id", "left_anti")
+        winners = absent_from(winners, present, "document_id")
         fresh = documents(batch.join(winners, ["document_id", "page_id"], "left_semi"))
         written = materialize(fresh, "documents", f"{out}/batch_id={batch_id}")
         write_batch(page_metadata(written, created_at), metadata, batch_id)
