@@ -416,7 +416,7 @@ def stage_lineage(spark, d):
     return outcomes.stage_lineage({
         "document": docs,
         "label": I.table(spark, d, "labels").select(F.col("doc_id").alias("document_id")),
-        "summary": docs.where(T.has_min_words(F.col("text"))),
+        "summary": spread(docs).where(T.has_min_words(F.col("text"))),
         # Shifted by 7, so that some translations have no document.
         "translation": docs.where("document_id % 2 = 0").select((F.col("document_id") + 7).alias("document_id")),
     })

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from webtext.functions import html as H
 from webtext.functions import urls as U
 
+# Time stamp formats.
 FILE_STAMP = "yyyyMMdd_HHmmss"
 TEXT_STAMP = "yyyy-MM-dd HH:mm:ss"
 

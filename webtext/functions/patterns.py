@@ -1,27 +1,58 @@
-"""Regular expressions shared by the column functions.
+"""Regular expressions and word lists shared by the column functions.
 
-All of them run inside Spark's built-in regexp functions (Java syntax). None
+All patterns run inside Spark's built-in regexp functions (Java syntax). None
 uses an alternation inside an unbounded repeat, so a hostile page cannot
 overflow the regex engine's stack.
 """
 
-# Whitespace and word characters as Unicode-aware text tools see them. Java's
-# own \s and \W are ASCII-only.
-WS = r"[\s\x{1c}-\x{1f}\x{85}\p{Z}]"
-NON_WORD = r"[^\p{L}\p{N}_]"
-# The characters of WS, for trimming.
+# --- Fixed values ---------------------------------------------------------
+# Links that are not followed, files that are not pages, query parts kept.
+SKIPPED_PREFIXES = ("javascript:", "mailto:", "tel:", "#")
+ASSET_SUFFIXES = (".pdf", ".jpg", ".png", ".gif", ".zip", ".mp3", ".mp4")
+KEPT_QUERY_KEYS = ("id=", "page=", "category=", "p=")
+# Assignment of a location in a click handler.
+ONCLICK_TARGET = r"""window\.location\.href\s*=\s*['"]([^'"]+)['"]"""
+# Elements removed with their content.
+BOILERPLATE_TAGS = (
+    "script", "style", "iframe", "nav", "footer", "header", "aside", "noscript",
+    "meta", "link", "button", "form", "input", "svg", "path",
+)
+# Markdown cleaning.
+ANY_TAG = r"<[^>]+>"
+HTTP_URL = r"https?://[!$-_a-z]+"
+MD_LINK = r"\[([^\]]+)\]\([^\)]+\)"
+MANY_NEWLINES = r"\n{3,}"
+# Entities decoded to text; &amp; must stay last.
+ENTITIES = (
+    ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\xa0"), ("&copy;", "©"),
+    ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"),
+)
+# The characters of WS below, for trimming and splitting.
 WS_CHARS = (
     "\t\n\x0b\x0c\r \x1c\x1d\x1e\x1f\x85\xa0\u1680"
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# --- links ----------------------------------------------------------------
+# --- Unicode-aware classes; Java's own \s and \W are ASCII-only -----------
+WS = r"[\s\x{1c}-\x{1f}\x{85}\p{Z}]"
+NON_WORD = r"[^\p{L}\p{N}_]"
+
+# --- URL parts ------------------------------------------------------------
+SCHEME = r"\A([A-Za-z][A-Za-z0-9+.-]*):"
+NETLOC = r"\A(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)"
+QUERY = r"\A[^?#]*\?([^#]*)"
+ORIGIN = r"\A([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
+
+# --- Links in a page ------------------------------------------------------
 # Attribute value in any of the three HTML quoting styles; group 1 keeps the
 # quotes, QUOTES removes them.
 ATTR_VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
 QUOTES = r"""\A["']|["']\z"""
-
+ANCHOR_HREF = r"(?is)<a\s(?:[^>]*?\s)?href\s*=\s*" + ATTR_VALUE
+ANY_HREF = r"(?is)<[a-z][^>]*?\shref\s*=\s*" + ATTR_VALUE
+ONCLICK = r"(?is)\sonclick\s*=\s*" + ATTR_VALUE
+DATA_URL = r"""(?is)\sdata-[a-z0-9_.-]+\s*=\s*("http[^"]*"|'http[^']*'|http[^\s"'>]+)"""
 # Parts of a page that a browser does not expose as elements.
 OPAQUE = (
     r"(?is)<(?:script(?:\s[^>]*)?>.*?</script\s*>"
@@ -29,39 +60,13 @@ OPAQUE = (
     r"|noscript(?:\s[^>]*)?>.*?</noscript\s*>"
     r"|!--.*?-->)"
 )
-ANCHOR_HREF = r"(?is)<a\s(?:[^>]*?\s)?href\s*=\s*" + ATTR_VALUE
-ANY_HREF = r"(?is)<[a-z][^>]*?\shref\s*=\s*" + ATTR_VALUE
-ONCLICK = r"(?is)\sonclick\s*=\s*" + ATTR_VALUE
-ONCLICK_TARGET = r"""window\.location\.href\s*=\s*['"]([^'"]+)['"]"""
-DATA_URL = r"""(?is)\sdata-[a-z0-9_.-]+\s*=\s*("http[^"]*"|'http[^']*'|http[^\s"'>]+)"""
-
-# --- fixed values: link prefixes, asset suffixes, query keys ---------------
-SKIPPED_PREFIXES = ("javascript:", "mailto:", "tel:", "#")
-ASSET_SUFFIXES = (".pdf", ".jpg", ".png", ".gif", ".zip", ".mp3", ".mp4")
-KEPT_QUERY_KEYS = ("id=", "page=", "category=", "p=")
-
-# --- URL parts ------------------------------------------------------------
-SCHEME = r"\A([A-Za-z][A-Za-z0-9+.-]*):"
-NETLOC = r"\A(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)"
-QUERY = r"\A[^?#]*\?([^#]*)"
-ORIGIN = r"\A([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
 
 # --- HTML to markdown -----------------------------------------------------
-# Elements removed with their content, and those of them that
-# never have a closing tag.
-BOILERPLATE_TAGS = (
-    "script", "style", "iframe", "nav", "footer", "header", "aside", "noscript",
-    "meta", "link", "button", "form", "input", "svg", "path",
-)
+# Of the removed elements, those that never have a closing tag.
 VOID_TAGS = ("meta", "link", "input")
 # Elements that may sit alone inside a paragraph.
 INLINE_TAGS = ("a", "b", "cite", "code", "em", "i", "mark", "q", "s", "small",
                "span", "strong", "sub", "sup", "u")
-# Entities decoded to text; &amp; must stay last.
-ENTITIES = (
-    ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&copy;", "©"),
-    ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"),
-)
 
 
 def _boilerplate() -> str:
@@ -85,6 +90,10 @@ SINGLE_STRING_P = (
 ).format("|".join(INLINE_TAGS))
 PARAGRAPH_TAG = r"(?is)</?p(?:\s[^>]*)?>"
 TITLE = r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>"
+# One pass for all levels: the level digit follows HEADING_MARK until it is
+# replaced by as many "#".
+HEADING = r"(?is)<h([1-6])(?:\s[^>]*)?>(.*?)</h\1\s*>"
+HEADING_MARK = "\x01"
 LIST_ITEM = r"(?is)<li(?:\s[^>]*)?>(.*?)</li\s*>"
 LINE_BREAK = r"(?is)<br\s*/?>"
 BOLD = r"(?is)<(?:b|strong)(?:\s[^>]*)?>([^<]*)</(?:b|strong)\s*>"
@@ -92,22 +101,13 @@ ITALIC = r"(?is)<(?:i|em)(?:\s[^>]*)?>([^<]*)</(?:i|em)\s*>"
 CODE = r"(?is)<code(?:\s[^>]*)?>([^<]*)</code\s*>"
 MD_ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*["']?([^\s"'>]*)["']?[^>]*>(.*?)</a\s*>"""
 
-# One pass for all levels: the level digit follows HEADING_MARK until it is
-# replaced by as many "#".
-HEADING = r"(?is)<h([1-6])(?:\s[^>]*)?>(.*?)</h\1\s*>"
-HEADING_MARK = "\x01"
-
-# --- markdown cleaning ----------------------------------------------------
+# --- Markdown cleaning ----------------------------------------------------
 # Anchored at both ends: a text without an article is left as it is, and an
 # empty article gives an empty text.
 FIRST_ARTICLE = r"(?s)\A.*?<article[^>]*>(.*?)</article>.*\z"
 BLANK_LINES = rf"\n{WS}*\n"
-ANY_TAG = r"<[^>]+>"
-HTTP_URL = r"https?://[!$-_a-z]+"
-MD_LINK = r"\[([^\]]+)\]\([^\)]+\)"
 SPACES = r" {2,}"
 SYMBOL_LINES = rf"(?md)^{NON_WORD}+$\n"
-MANY_NEWLINES = r"\n{3,}"
 
-# --- plain text -----------------------------------------------------------
+# --- Plain text -----------------------------------------------------------
 SEGMENT = r"[^.!?\n]+[.!?]*"

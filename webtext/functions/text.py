@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from webtext.functions import patterns as P
 
+# Sizes in words.
 CHUNK_WORDS = 500
 MAX_INPUT_WORDS = 1024
 MAX_SUMMARY_WORDS = 800
 MIN_SUMMARY_WORDS = 150
 MIN_DOCUMENT_WORDS = 100
+
 MAX_GLOSSARY = 200
 
 
