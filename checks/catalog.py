@@ -89,7 +89,7 @@ def read_corpus(spark, d):
         packed.repartition("pack").sortWithinPartitions("pack", "doc_id").select("pack", "text")
         .write.partitionBy("pack").text(path)
     )
-    return readers.read_corpus(spark, path, "*.txt").select(
+    return readers.read_corpus(spark, path, "*.txt", recursive=True).select(
         F.regexp_extract("path", r"pack=(\d+)", 1).cast("bigint").alias("pack"), "text"
     )
 
@@ -735,7 +735,7 @@ def glossary_table_translate(spark, d):
     return translate_with_table(spread(I.docs(spark, d)), table)
 
 
-SQL_MODEL = f"""SELECT document_id::VARCHAR AS document_id, CASE WHEN n >= 100 THEN replace(text, 'e', 'E') END AS output,
+SQL_MODEL = f"""SELECT document_id, CASE WHEN n >= 100 THEN replace(text, 'e', 'E') END AS output,
     CASE WHEN n = 0 THEN 'empty text' WHEN n < 100 THEN 'too short: ' || n END AS error, n >= 100 AS success
     FROM (SELECT doc_id AS document_id, text, {S.n_words('text')} AS n FROM ({SQL_BLANKED}))"""
 
@@ -769,6 +769,27 @@ def batch_inference(spark, d):
     return inference.batch_inference(model_input(spark, d), make_model)
 
 
+@register(
+    "model_translate",
+    f"""SELECT document_id, (chunk_idx // 10000)::BIGINT AS part,
+      string_agg(replace(chunk, 'e', 'E'), chr(10) ORDER BY chunk_idx) AS text, count(*) AS pieces
+    FROM ({SQL_CHUNKS}) WHERE document_id NOT IN (SELECT document_id FROM ({SQL_CHUNKS}) WHERE chunk LIKE '%xx%')
+    GROUP BY 1, 2""",
+)
+def model_translate(spark, d):
+    """Chunks with a double x fail, and their documents with them."""
+
+    def make_model():
+        def model(texts):
+            if any("xx" in t for t in texts):
+                raise ValueError("double x")
+            return [t.replace("e", "E") for t in texts]
+
+        return model
+
+    return inference.translate_with_model(spread(I.docs(spark, d)), make_model)[0]
+
+
 # --- sinks: what was written is read back ---------------------------------
 @register(
     "write_manifest",

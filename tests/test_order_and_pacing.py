@@ -44,8 +44,8 @@ def test_random_order_is_a_seeded_permutation(spark):
     assert orders[0] == orders[1] != orders[2] and len(set(orders[2])) == 50
 
 
-@pytest.mark.parametrize("block", [1, 7, 1000])
-def test_running_total_with_a_hot_key(spark, block):
+@pytest.mark.parametrize("block, hot_rows", [(1, 0), (7, 100), (1000, 0), (7, 1000)])
+def test_running_total_with_a_hot_key(spark, block, hot_rows):
     rng = random.Random(2)
     rows = [("hot" if i % 3 == 0 else f"k{i % 40}", i, rng.randrange(9)) for i in range(900)]
     df = spark.createDataFrame(rows, "k string, i bigint, v bigint")
@@ -53,24 +53,25 @@ def test_running_total_with_a_hot_key(spark, block):
     for k, i, v in rows:
         sums[k] += v
         want[i] = sums[k]
-    got = ordering.running_total(df, ["k"], "i", "v", "t", block).collect()
+    got = ordering.running_total(df, ["k"], "i", "v", "t", block, hot_rows).collect()
     assert {r.i: r.t for r in got} == want
 
 
-@pytest.mark.parametrize("block_seconds", [1, 60, 100_000])
-def test_waits_with_a_hot_domain(spark, block_seconds):
+@pytest.mark.parametrize("block_seconds, hot_rows", [(1, 100), (60, 0), (100_000, 100), (60, 1000)])
+def test_waits_with_a_hot_domain(spark, block_seconds, hot_rows):
     rng = random.Random(4)
     rows = [
         ("hot" if i % 3 == 0 else f"d{rng.randrange(30)}", rng.randrange(3_000_000_000), i) for i in range(900)
     ] + [("tied", 5, 1001), ("tied", 5, 1000), (None, 7, 1002)]
     df = spark.createDataFrame(rows, "domain string, ts_us bigint, id bigint")
-    last = spark.createDataFrame([("hot", -1_000_000), ("unused", 1)], "domain string, last_us bigint")
-    before, want = {"hot": -1_000_000}, {}
+    earlier = {"hot": -1_000_000, "d3": -2_000_000, "d4": -9_000_000, "unused": 1}
+    last = spark.createDataFrame(list(earlier.items()), "domain string, last_us bigint")
+    before, want = dict(earlier), {}
     for domain, ts, i in sorted(rows, key=lambda r: (r[1], r[2])):
         gap = ts - before[domain] if domain in before else None
         want[i] = max(0, 3_000_000 - gap) if gap is not None else 0
         before[domain] = ts
-    got = pacing.politeness_wait(df, 3, last, block_seconds).collect()
+    got = pacing.politeness_wait(df, 3, last, block_seconds, hot_rows).collect()
     assert {r.id: r.wait_us for r in got} == want
 
 

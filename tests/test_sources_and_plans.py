@@ -192,3 +192,20 @@ def test_summaries_mark_blank_documents(spark):
 def test_robots_file_names(spark):
     got = spark.range(1).select(U.robots_url(F.lit("https://a.b.c:8/x?y")), U.robots_file_name(F.lit("https://a.b.c:8/x"), F.lit("S"))).first()
     assert tuple(got) == ("https://a.b.c:8/robots.txt", "a_b_c:8_S_robots.txt")
+
+
+def test_directory_run(spark, tmp_path, new_dir):
+    (tmp_path / "a.md").write_text("the cat. The end.")
+    (tmp_path / "b.md").write_text(" \n")
+    (tmp_path / "c.txt").write_text("not read")
+    for stage, suffix, text in (
+        (stages.summaries, "_summary.txt", "the cat. The end."),
+        (lambda docs: stages.translations(docs, {"the": "le"}), "_translated.txt", "le cat. The end."),
+        (stages.model_stage(lambda: lambda t: [x.upper() for x in t], "_up.txt"), "_up.txt", "THE CAT. THE END."),
+    ):
+        out = new_dir()
+        rows = stages.run_directory(spark, str(tmp_path), out, stage)
+        got = {r.input.rsplit("/", 1)[1]: (r.output, r.error, r.success) for r in rows.collect()}
+        assert got == {"a.md": ("a" + suffix, None, True), "b.md": (None, "empty text", False)}
+        assert [tuple(r) for r in spark.read.parquet(out).collect()] == [("a" + suffix, text)]
+        assert tuple(outcomes.outcome_rollup(rows).first()) == (1, 1)

@@ -145,3 +145,20 @@ def test_model_with_missing_outputs_is_run_item_by_item(spark):
     docs = docs_of(spark, ["a", "b", "c"]).coalesce(1)
     out = inference.batch_inference(docs, lambda: lambda texts: texts[:1])
     assert collected(out, "output") == ["a", "b", "c"]
+
+
+def test_translation_by_model_fails_whole_documents(spark):
+    texts = ["a b c d e", "a bad c worse", " ", "x"]
+
+    def make_model():
+        def model(chunks):
+            for c in chunks:
+                if "bad" in c or "worse" in c:
+                    raise ValueError(c)
+            return [c.upper() for c in chunks]
+
+        return model
+
+    got, rows = inference.translate_with_model(docs_of(spark, texts), make_model, size=2)
+    assert {r.document_id: r.text for r in got.collect()} == {0: "A B\nC D\nE", 3: "X"}
+    assert collected(rows, "error") == [None, "a bad", "empty text", None]

@@ -16,6 +16,8 @@ from webtext.sources.shared import materialize
 
 # A sorted limit up to this many rows is merged on the driver by Spark itself.
 TOP_K_ROWS = 10_000
+# A key with more rows than this is cut into blocks.
+HOT_ROWS = 1_000_000
 
 
 def number_rows(df: DataFrame, *order: Column | str, name: str = "pos") -> DataFrame:
@@ -84,29 +86,49 @@ def recent_pages(metadata: DataFrame, start, end, k: int) -> DataFrame:
     return metadata.where(in_range).orderBy(F.col("created_at").desc(), F.col("id")).limit(k)
 
 
+def in_blocks(df: DataFrame, keys: list[str], position: str, block: int, hot_rows: int) -> DataFrame:
+    """Add ``_block`` and ``_hot``: keys with more than ``hot_rows`` rows are cut
+    into blocks of ``block`` consecutive positions, others are one block.
+
+    Counting combines on the map side. Hot keys number at most the rows of
+    ``df`` divided by ``hot_rows``, so their list can be broadcast. Without
+    keys everything is one hot group.
+    """
+    cut = F.expr(f"{position} div {block}")
+    if not keys:
+        return df.withColumn("_hot", F.lit(True)).withColumn("_block", cut)
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    hot = counts.where(F.col("_n") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
+    marked = df.join(F.broadcast(hot), keys, "left")
+    return marked.withColumn("_block", F.when(F.col("_hot"), cut).otherwise(F.lit(0).cast("bigint")))
+
+
 def running_total(
-    df: DataFrame, keys: list[str], position: str, value: str, name: str, block: int = 100_000
+    df: DataFrame,
+    keys: list[str],
+    position: str,
+    value: str,
+    name: str,
+    block: int = 100_000,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``name`` = sum of ``value`` up to and including each row, per ``keys``.
 
-    Rows are summed inside blocks of ``block`` consecutive positions, and block
-    totals are carried forward, so one hot key is shared by many tasks.
+    Rows are summed inside blocks, and block totals of hot keys are carried
+    forward, so one hot key is shared by many tasks.
     """
-    blocked = df.withColumn("_block", F.expr(f"{position} div {block}"))
+    blocked = in_blocks(df, keys, position, block, hot_rows)
     inside = Window.partitionBy(*keys, "_block").orderBy(position).rowsBetween(
         Window.unboundedPreceding, 0
     )
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        blocked.groupBy(*keys, "_block")
-        .agg(F.sum(value).alias("_total"))
-        .select(*keys, "_block", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_carried"))
-    )
+    totals = blocked.where("_hot").groupBy(*keys, "_block").agg(F.sum(value).alias("_total"))
+    carried = totals.select(*keys, "_block", F.sum("_total").over(before).alias("_carried"))
     return (
         blocked.withColumn("_inside", F.sum(value).over(inside))
         .join(carried, [*keys, "_block"], "left")
         .withColumn(name, F.col("_inside") + F.coalesce("_carried", F.lit(0)))
-        .drop("_block", "_inside", "_carried")
+        .drop("_block", "_hot", "_inside", "_carried")
     )
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from webtext.operators.ordering import HOT_ROWS, in_blocks
+
 MICROS = 1_000_000
 
 
@@ -12,7 +14,8 @@ def politeness_wait(
     requests: DataFrame,
     delay_seconds: float,
     last_request: DataFrame | None = None,
-    block_seconds: int = 3600,
+    block_seconds: int = 60,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``wait_us``, how long each request should have waited.
 
@@ -21,28 +24,34 @@ def politeness_wait(
     domain's first request waits 0. ``last_request`` (``domain, last_us``)
     holds earlier requests of the domains.
 
-    One domain may hold a large share of the log, so its requests are not
-    sorted in one task: the window runs inside (domain, time block), and the
-    last request of each block is carried to the domain's next block. Choose
-    ``block_seconds`` so that the busiest domain's block fits a task.
+    A domain with more than ``hot_rows`` requests is not sorted in one task:
+    its window runs inside blocks of ``block_seconds``, and the last request of
+    each block is carried to the domain's next block. Choose ``block_seconds``
+    so that the busiest domain's block fits a task.
     """
-    delay = round(delay_seconds * MICROS)
-    blocked = requests.withColumn("_block", F.expr(f"ts_us div {block_seconds * MICROS}"))
-    tails = blocked.groupBy("domain", "_block").agg(F.max("ts_us").alias("_tail"))
+    blocked = in_blocks(requests, ["domain"], "ts_us", block_seconds * MICROS, hot_rows)
+    tails = blocked.where("_hot").groupBy("domain", "_block").agg(F.max("ts_us").alias("_tail"))
     by_domain = Window.partitionBy("domain").orderBy("_block")
     carried = tails.select("domain", "_block", F.lag("_tail").over(by_domain).alias("_carried"))
     if last_request is not None:
-        carried = carried.join(last_request.select("domain", "last_us"), "domain", "left").select(
+        last = last_request.select("domain", "last_us")
+        hot = tails.select("domain").distinct()
+        carried = carried.join(last, "domain", "left").select(
             "domain", "_block", F.coalesce("_carried", "last_us").alias("_carried")
         )
+        carried = carried.unionByName(
+            last.join(hot, "domain", "left_anti").select(
+                "domain", F.lit(0).cast("bigint").alias("_block"), F.col("last_us").alias("_carried")
+            )
+        )
     inside = Window.partitionBy("domain", "_block").orderBy("ts_us", "id")
     previous = F.coalesce(F.col("_inside"), F.col("_carried"))
-    gap = F.lit(delay) - (F.col("ts_us") - previous)
+    gap = F.lit(round(delay_seconds * MICROS)) - (F.col("ts_us") - previous)
     return (
         blocked.withColumn("_inside", F.lag("ts_us").over(inside))
         .join(carried, ["domain", "_block"], "left")
         .withColumn("wait_us", F.greatest(F.lit(0).cast("bigint"), gap))
-        .drop("_block", "_inside", "_carried")
+        .drop("_block", "_hot", "_inside", "_carried")
     )
 
 

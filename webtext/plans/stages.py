@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webtext.functions import html as H
@@ -14,8 +14,10 @@ from webtext.functions import text as T
 from webtext.functions import urls as U
 from webtext.operators import chunks, links, outcomes
 from webtext.operators.crawl import bounded_crawl
+from webtext.operators.inference import batch_inference
 from webtext.operators.ordering import number_rows
 from webtext.operators.summary import summarize
+from webtext.sources import readers, writers
 from webtext.sources.shared import compute_once, materialize, spread
 
 
@@ -143,6 +145,39 @@ def _derived(df: DataFrame, suffix: str, column: str, error: Column) -> DataFram
     ).withColumn("success", F.col("error").isNull())
 
 
+def model_stage(
+    make_model: Callable[[], Callable[[list[str]], list[str]]], suffix: str, batch_size: int = 32
+) -> Callable[[DataFrame], DataFrame]:
+    """A stage like ``summaries`` that runs a model on whole documents."""
+
+    def stage(docs: DataFrame) -> DataFrame:
+        out = batch_inference(docs.select("document_id", "text"), make_model, batch_size)
+        return _derived(out, suffix, "output", F.col("error"))
+
+    return stage
+
+
+def run_directory(
+    spark: SparkSession,
+    input_dir: str,
+    output_dir: str,
+    stage: Callable[[DataFrame], DataFrame],
+    pattern: str = "*.md",
+) -> DataFrame:
+    """Run a stage over the text files of a folder and write what succeeded.
+
+    Returns ``input, output, error, success`` per file; ``outcome_rollup``
+    counts them. The stage is run once: its rows are written before they are
+    split into texts and outcomes.
+    """
+    files = readers.read_corpus(spark, input_dir, pattern)
+    done = materialize(stage(files.select("document_id", "text")), "directory")
+    writers.write_derived(done.where("success"), output_dir)
+    return done.join(files.select("document_id", F.col("path").alias("input")), "document_id").select(
+        "input", F.when(F.col("success"), F.col("name")).alias("output"), "error", "success"
+    )
+
+
 @dataclass
 class Pipeline:
     crawl: Crawl

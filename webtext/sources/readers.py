@@ -42,12 +42,14 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return manifest_worklist(spark, path).select("url").where(F.col("url").isNotNull()).distinct()
 
 
-def read_corpus(spark: SparkSession, path: str, pattern: str = "*.md") -> DataFrame:
-    """``document_id, path, text``: one row per whole text file below ``path``.
+def read_corpus(
+    spark: SparkSession, path: str, pattern: str = "*.md", recursive: bool = False
+) -> DataFrame:
+    """``document_id, path, text``: one row per whole text file in ``path``.
 
     The id is the file name without its last suffix.
     """
-    files = spark.read.text(path, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=True)
+    files = spark.read.text(path, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=recursive)
     return files.select(
         F.regexp_replace("_metadata.file_name", r"\.[^.]*\z", "").alias("document_id"),
         F.col("_metadata.file_path").alias("path"),
