@@ -375,7 +375,7 @@ def first_page(spark, d) -> DataFrame:
     walk AS (
       SELECT arg_min(url, page_id) AS url, 0 AS level FROM ({I.PAGE_URLS}) WHERE page_id % 11 <> 0
       UNION
-      SELECT e.link, w.level + 1 FROM walk w JOIN edges e ON w.url = e.url WHERE w.level < 60)
+      SELECT e.link, w.level + 1 FROM walk w JOIN edges e ON w.url = e.url WHERE w.level < 200)
     SELECT url, min(level) AS level, url NOT IN ({I.FAILED}) AS success FROM walk GROUP BY url""",
 )
 def bounded_crawl(spark, d):
@@ -388,7 +388,7 @@ def bounded_crawl(spark, d):
     walk AS (
       SELECT arg_min(url, page_id) AS url, 0 AS level FROM ({I.PAGE_URLS}) WHERE page_id % 11 <> 0
       UNION
-      SELECT e.link, w.level + 1 FROM walk w JOIN edges e ON w.url = e.url WHERE w.level < 60)
+      SELECT e.link, w.level + 1 FROM walk w JOIN edges e ON w.url = e.url WHERE w.level < 200)
     SELECT url, level, true AS success FROM (
       SELECT url, min(level) AS level, row_number() OVER (ORDER BY min(level), url) AS visit FROM walk GROUP BY url)
     WHERE visit <= (SELECT count(*) // 2 FROM pages)""",
@@ -416,7 +416,7 @@ def stage_lineage(spark, d):
     return outcomes.stage_lineage({
         "document": docs,
         "label": I.table(spark, d, "labels").select(F.col("doc_id").alias("document_id")),
-        "summary": spread(docs).where(T.has_min_words(F.col("text"))),
+        "summary": compute_once(spread(docs), n=T.word_count(F.col("text"))).where("n >= 100"),
         # Shifted by 7, so that some translations have no document.
         "translation": docs.where("document_id % 2 = 0").select((F.col("document_id") + 7).alias("document_id")),
     })
@@ -773,16 +773,16 @@ def batch_inference(spark, d):
     "model_translate",
     f"""SELECT document_id, (chunk_idx // 10000)::BIGINT AS part,
       string_agg(replace(chunk, 'e', 'E'), chr(10) ORDER BY chunk_idx) AS text, count(*) AS pieces
-    FROM ({SQL_CHUNKS}) WHERE document_id NOT IN (SELECT document_id FROM ({SQL_CHUNKS}) WHERE chunk LIKE '%xx%')
+    FROM ({SQL_CHUNKS}) WHERE document_id NOT IN (SELECT document_id FROM ({SQL_CHUNKS}) WHERE chunk LIKE '%zz%')
     GROUP BY 1, 2""",
 )
 def model_translate(spark, d):
-    """Chunks with a double x fail, and their documents with them."""
+    """Chunks with a double z fail, and their documents with them."""
 
     def make_model():
         def model(texts):
-            if any("xx" in t for t in texts):
-                raise ValueError("double x")
+            if any("zz" in t for t in texts):
+                raise ValueError("double z")
             return [t.replace("e", "E") for t in texts]
 
         return model

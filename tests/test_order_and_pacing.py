@@ -112,6 +112,7 @@ def walk(edges, seeds, failed, cap):
 @pytest.mark.parametrize("cap, large", [(None, 1000), (None, 10), (1, 1000), (37, 0), (100, 1000), (1000, 1000)])
 def test_crawl_equals_walk(spark, monkeypatch, cap, large):
     monkeypatch.setattr(crawl, "LARGE_VISITED", large)
+    monkeypatch.setattr(crawl, "MERGE_ROUNDS", 3)
     rng = random.Random(6)
     names = [f"u{i:03d}" for i in range(400)]
     edges = defaultdict(set)

@@ -12,6 +12,8 @@ from webtext.sources.shared import absent_from, materialize, work_dir
 SAVE_EVERY = 5
 # Beyond this many visited pages a round compares its links in two steps.
 LARGE_VISITED = 1_000_000
+# After this many rounds the folders of the visited pages are merged.
+MERGE_ROUNDS = 16
 
 
 def bounded_crawl(
@@ -65,6 +67,10 @@ def bounded_crawl(
             materialize(kept, "last", path)
         paths.append(path)
         total, level = total + rows, level + 1
+        if len(paths) > MERGE_ROUNDS:
+            merged = f"{root}/merged-{level:06d}"
+            materialize(read(*paths), "merged", merged)
+            paths = [merged]
         next_links = edges.join(read(path).select("url"), "url", "left_semi")
         found = unvisited(next_links.select(F.col("link").alias("url")), read(*paths).select("url"))
 
