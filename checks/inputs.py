@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import sql as S
+from webtext.functions import patterns as P
 from webtext.functions import urls as U
 from webtext.operators.ordering import number_rows
 from webtext.operators.pacing import micros
@@ -154,8 +155,7 @@ SQL_ANCHORS = S.resolve(
 SQL_HREFS = f"""SELECT page_id, url, link FROM ({S.resolve(
     sql_hrefs(RICH, r'(?is)<[a-z][^>]*?' + chr(92) + r'shref\s*=\s*' + ATTR), 'page_id, url')})
     WHERE NOT {S.matches('link', r'(?i)^(javascript|mailto|tel):')}"""
-SQL_ONCLICK = f"""SELECT page_id, url, unnest({S.rall(
-    'href', r'''window\.location\.href\s*=\s*['"]([^'"]+)['"]''')}) AS link
+SQL_ONCLICK = f"""SELECT page_id, url, unnest({S.rall('href', P.ONCLICK_TARGET)}) AS link
     FROM ({sql_hrefs(RICH, r'(?is)' + chr(92) + r'sonclick\s*=\s*' + ATTR)})"""
 _DATA = r'''(?is)\sdata-[a-z0-9_.-]+\s*=\s*("http[^"]*"|'http[^']*'|http[^\s"'>]+)'''
 SQL_DATA = f"SELECT page_id, url, href AS link FROM ({sql_hrefs(RICH, _DATA)})"

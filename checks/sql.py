@@ -159,7 +159,7 @@ def markup(h):
 
 
 def article(t):
-    p = r"<article[^>]*>([\s\S]*?)</article>"
+    p = r"(?s)<article[^>]*>(.*?)</article>"
     return f"CASE WHEN {matches(t, p)} THEN {rx(t, p)} ELSE {t} END"
 
 
@@ -168,15 +168,15 @@ def blank_lines(t):
 
 
 def tags(t):
-    return rr(t, r"<[^>]+>")
+    return rr(t, P.ANY_TAG)
 
 
 def urls(t):
-    return rr(t, r"https?://[!$-_a-z]+")
+    return rr(t, P.HTTP_URL)
 
 
 def md_links(t):
-    return rr(t, r"\[([^\]]+)\]\([^\)]+\)", r"\1")
+    return rr(t, P.MD_LINK, r"\1")
 
 
 def spaces(t):
@@ -188,7 +188,7 @@ def symbol_lines(t):
 
 
 def spacing(t):
-    return rr(rr(t, r"\n{3,}", "\n\n"), rf"\A{WS}+|{WS}+\z")
+    return rr(rr(t, P.MANY_NEWLINES, "\n\n"), rf"\A{WS}+|{WS}+\z")
 
 
 def chain(source: str, column: str, *steps, keep: str) -> str:
