@@ -2,8 +2,8 @@
 
 Every five-word shingle is hashed once; the top bits of the hash choose a bin and each
 bin keeps its least hash. An empty bin takes the value of another: it looks at bins
-drawn from its own index until one was filled (optimal densification). Of each bin's
-value the four lowest bits are stored, as one hexadecimal digit. Two fingerprints agree
+drawn from its own index until one was filled (optimal densification), and hashes what
+it found with its index. Of each bin's value the four lowest bits are stored, as one hexadecimal digit. Two fingerprints agree
 by chance in one bin of 16, which the likeness corrects.
 """
 
@@ -69,8 +69,9 @@ def signature(text: str | Column, bins: int = BINS, width: int = WIDTH) -> Colum
         def value(x: Column, i: Column, all_bins: Column) -> Column:
             b = i.cast("long")
             drawn = [F.get(all_bins, F.pmod(F.xxhash64(b, F.lit(d)), F.lit(bins)).cast("int")) for d in range(DRAWS)]
-            low = F.coalesce(x, *drawn, ranked(f, b)).bitwiseAND(F.lit((1 << BITS) - 1))
-            return low.cast("tinyint")
+            # A borrowed value is hashed with the bin, or a lone shingle would fill all bins alike.
+            chosen = F.coalesce(x, F.xxhash64(b, F.coalesce(*drawn, ranked(f, b))))
+            return chosen.bitwiseAND(F.lit((1 << BITS) - 1)).cast("tinyint")
 
         return let(dense(f), lambda a: F.transform(a, lambda x, i: value(x, i, a)))
 

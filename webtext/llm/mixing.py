@@ -86,7 +86,7 @@ def plan(
     def take(epoch: Column) -> Column:
         begin = epoch * F.col("source_size") + F.col("_start")
         left = F.round(F.col("target")).cast("long") - begin
-        position = time_of(F.least(begin / F.col("target"), F.lit(1.0)), first, last)
+        position = time_of(F.least(F.try_divide(begin, "target"), F.lit(1.0)), first, last)
         return F.struct(position.alias("position"), F.greatest(F.least(F.col("size"), left), F.lit(0)).cast("long").alias("words"))
 
     epochs = F.sequence(F.lit(0).cast("long"), F.lit(max(0, -int(-most // 1) - 1)).cast("long"))
