@@ -29,9 +29,7 @@ FIRST_CHAR = 0x100
 PIECE, TRAINER, NORMALIZER = 1, 2, 3
 NORMAL, UNKNOWN, BPE = 1, 2, 2
 # Distinct pre-tokens that a worker remembers; beyond that it forgets them all and goes on.
-REMEMBERED = 300_000
-# Documents that go to a worker at once.
-ROWS_AT_ONCE = 64
+REMEMBERED = 120_000
 
 
 def read_ranks(path: str) -> list[bytes]:

@@ -21,6 +21,8 @@ def register(name: str, sql: str | None = None):
             paths = spark.sparkContext.environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
             if ROOT not in paths.split(os.pathsep):
                 spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, paths]))
+            # Texts can be long: few rows at once go to a Python worker.
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
             return query(spark, sf_dir)
 
         QUERIES[name] = run
@@ -77,3 +79,17 @@ def op6(spark, d):
     from webtext.llm.fingerprints import with_next
 
     return with_next(table(spark, d, "documents"))
+
+
+@register("op7_set_join")
+def op7(spark, d):
+    from webtext.llm.set_join import jaccard_components
+
+    return jaccard_components(table(spark, d, "documents"), width=3, percent=90)
+
+
+@register("op3_repeats")
+def op3(spark, d):
+    from webtext.llm.repeats import repeated
+
+    return repeated(table(spark, d, "documents")).drop("th")
