@@ -10,10 +10,10 @@ def brute(rows):
     """Cuts ``(doc_id, start, end, words, kept)`` of rows with distinct ids."""
     first, out = {}, []
     for doc_id, text in sorted(rows):
-        for start, end, words in units(text):
-            if len(words) < MIN_WORDS:
+        for start, end, words, key in units(text):
+            if not words or len(key) < MIN_WORDS:
                 continue
-            key = tuple(words)
+            key = tuple(key)
             if key in first:
                 out.append((doc_id, start, end, len(words), first[key]))
             else:
@@ -29,8 +29,8 @@ def test_query_equals_brute_force(spark, sf, docs):
 def test_units_cover_the_text(docs):
     for r in docs.collect():
         cut = units(r.text)
-        assert "".join(r.text[s:e] for s, e, _ in cut) == r.text
-        assert [w for _, _, ws in cut for w in ws] == normal_words(r.text)
+        assert "".join(r.text[s:e] for s, e, *_ in cut) == r.text
+        assert [w for _, _, ws, _ in cut for w in ws] == normal_words(r.text)
 
 
 def test_passage_inside_other_lines(spark):

@@ -93,3 +93,17 @@ def op3(spark, d):
     from webtext.llm.repeats import repeated
 
     return repeated(table(spark, d, "documents")).drop("th")
+
+
+@register("op9_toxicity")
+def op9(spark, d):
+    from webtext.llm.toxicity import fold, train
+
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    scored = train(docs, table(spark, d, "labels")).score(docs)
+    return scored.select(
+        "doc_id",
+        (fold("doc_id") == 0).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )

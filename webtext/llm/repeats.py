@@ -1,11 +1,12 @@
 """Removal of repeated passages by hashing lines and the sentences within them.
 
-A unit ends at a line break and after each sentence of at least ``MIN_WORDS`` words, so
-shorter sentences belong to the unit of the next longer one. Boundaries depend only on
-the words around them, and a passage is cut alike wherever it stands. Units are
-normalised (lower case, white space squeezed, punctuation at the edges of words
-dropped), digests are grouped over all documents, the earliest occurrence stays and the
-others go. Units below ``MIN_WORDS`` words are never removed.
+A unit is a sentence of at least ``MIN_WORDS`` words, or what lies between two of them
+on a line. The key of such a run of short sentences takes in the long sentence before
+it, unless the run has enough words itself. Boundaries and keys depend only on the words
+around them, so a passage is cut alike wherever it stands. Words are normalised (lower
+case, punctuation at their edges dropped), digests of keys are grouped over all
+documents, the earliest occurrence stays and the others go. Keys below ``MIN_WORDS``
+words are never removed.
 """
 
 from __future__ import annotations
@@ -30,18 +31,30 @@ def normal_words(text: str) -> list[str]:
     return [w for w in (EDGES.sub("", x) for x in text.lower().split()) if w]
 
 
-def units(text: str | None) -> list[tuple[int, int, list[str]]]:
-    """``(start, end, words)`` of each unit: offsets in code points, the white space after
-    the unit included; units cover the text without gaps."""
-    out, start, words, at = [], 0, [], 0
+def units(text: str | None) -> list[tuple[int, int, list[str], list[str]]]:
+    """``(start, end, words, key)`` of each unit: offsets in code points, the white space
+    after the unit included; units cover the text without gaps."""
+    out, start, at = [], 0, 0
+    short: list[str] = []
+    long: list[str] = []
     text = text or ""
+
+    def end_run(end: int) -> None:
+        if end > start:
+            out.append((start, end, short, short if len(short) >= MIN_WORDS else long + short))
+
     for end, gap in [*((m.end(), m.group()) for m in BREAK.finditer(text)), (len(text), "\n")]:
-        new = normal_words(text[at:end])
-        words += new
+        words = normal_words(text[at:end])
+        if len(words) >= MIN_WORDS:
+            end_run(at)
+            out.append((at, end, words, words))
+            start, short, long = end, [], words
+        else:
+            short = short + words
+            if "\n" in gap:
+                end_run(end)
+                start, short = end, []
         at = end
-        if end > start and (len(new) >= MIN_WORDS or "\n" in gap):
-            out.append((start, end, words))
-            start, words = end, []
     return out
 
 
@@ -55,9 +68,9 @@ def unit_rows(docs: DataFrame) -> DataFrame:
             rows = []
             for doc_id, th, text in zip(*[c.to_pylist() for c in part.columns]):
                 seen = set()
-                for start, end, words in units(text):
-                    if len(words) >= MIN_WORDS:
-                        digest = hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                for start, end, words, key in units(text):
+                    if words and len(key) >= MIN_WORDS:
+                        digest = hashlib.blake2b(" ".join(key).encode("utf-8", "surrogatepass"), digest_size=16).digest()
                         rows.append((doc_id, th, start, end, len(words), digest, digest in seen))
                         seen.add(digest)
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)

@@ -167,9 +167,8 @@ def matches(percent: int):
 
         for cid, n_copies, home, tokens in zip(queries.q, queries.q_copies, queries.home, queries.q_tokens):
             tokens = np.asarray(tokens, np.int64)
-            at = np.searchsorted(union, tokens)
-            at = at[(at < len(union))]
-            at = at[np.isin(union[at], tokens, assume_unique=True)] if len(at) else at
+            at = np.minimum(np.searchsorted(union, tokens), len(union) - 1)
+            at = at[union[at] == tokens]
             if 100 * len(at) < percent * len(tokens):
                 continue
             inter = has[at].sum(axis=0, dtype=np.int64)
