@@ -7,7 +7,7 @@ import pytest
 from webtext.llm.queries import QUERIES, table
 from webtext.llm.toxicity import FEATURES, Codes, Model, features_of, train, without_toxic
 
-SF = "/root/testdata/sf0.01"
+SF = "/root/testdata/sf0.1"
 
 
 @pytest.fixture(scope="module")
@@ -41,8 +41,8 @@ def test_held_out_labels_change_nothing(spark, scored):
 def test_features():
     codes = Codes(frozenset(["idiot", "^vequ"]))
     got = dict(zip(FEATURES, features_of("You are an 1d!ot . VEQUOI so calm today, my good friend", codes)))
-    assert got["word_hits"] == pytest.approx(1 / 11) and got["start_hits"] == pytest.approx(1 / 11)
-    assert got["disguised_hits"] > 0 and got["near_second_person"] == pytest.approx(1 / 11)
+    assert got["word_hits"] == pytest.approx(1 / 12) and got["start_hits"] == pytest.approx(1 / 12)
+    assert got["disguised_hits"] > 0 and got["near_second_person"] == pytest.approx(1 / 12)
     assert features_of(None, codes) == features_of(" \n", codes) == [0.0] * len(FEATURES)
 
 

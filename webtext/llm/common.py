@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,26 +21,10 @@ def word_count(text: str | Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def pieces(rows: list, size, limit: int = 8 << 20) -> Iterator[list]:
-    """Consecutive slices of ``rows`` of about ``limit`` bytes, at least one row each."""
-    part, held = [], 0
-    for row in rows:
-        part.append(row)
-        held += size(row)
-        if held >= limit:
-            yield part
-            part, held = [], 0
-    if part:
-        yield part
-
-
-def batches(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist(rows, schema=schema)
-
-
-def prefix_sums(df: DataFrame, groups: list[str], order: list[str | Column], **values: str) -> DataFrame:
+def prefix_sums(df: DataFrame, groups: list[str], order: list[str | Column], most: dict[str, str] = {}, **values: str) -> DataFrame:
     """Rows with, for each ``name=column`` of ``values``, the sum of ``column`` over the
-    earlier rows of the same group. Null group values form a group.
+    earlier rows of the same group (0 for the first), and for each of ``most`` their
+    largest value (null for the first). Null group values form a group.
 
     No group is brought into one task: rows are range-partitioned by group and order
     and written once (boundaries come from a sample, so they must not be drawn twice),
@@ -62,20 +43,18 @@ def prefix_sums(df: DataFrame, groups: list[str], order: list[str | Column], **v
     inside = Window.partitionBy("_part", *groups).orderBy(*order, "_tie").rowsBetween(Window.unboundedPreceding, -1)
     earlier = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
-    totals = (
-        rows.groupBy("_part", *groups)
-        .agg(*[F.sum(c).alias(f"_all_{n}") for n, c in values.items()])
-        .select("_part", *groups, *[F.coalesce(F.sum(f"_all_{n}").over(earlier), zero).alias(f"_all_{n}") for n in values])
-    )
+    scans = {n: (c, F.sum, lambda a, b: F.coalesce(a, zero) + F.coalesce(b, zero)) for n, c in values.items()}
+    scans |= {n: (c, F.max, F.greatest) for n, c in most.items()}
+    totals = rows.groupBy("_part", *groups).agg(*[f(c).alias(f"_all_{n}") for n, (c, f, _) in scans.items()])
+    totals = totals.select("_part", *groups, *[f(f"_all_{n}").over(earlier).alias(f"_all_{n}") for n, (_, f, _) in scans.items()])
     on = F.col("r._part") == F.col("t._part")
     for g in groups:
         on = on & F.col(f"r.{g}").eqNullSafe(F.col(f"t.{g}"))
-    placed = rows.select("*", *[F.coalesce(F.sum(c).over(inside), zero).alias(n) for n, c in values.items()])
-    kept = [c for c in placed.columns if c not in ("_tie", "_part", *values)]
-    return (
-        placed.alias("r").join(totals.alias("t"), on)
-        .select(*[F.col(f"r.`{c}`") for c in kept], *[(F.col(f"r.{n}") + F.col(f"t._all_{n}")).alias(n) for n in values])
-    )
+    placed = rows.select("*", *[f(c).over(inside).alias(n) for n, (c, f, _) in scans.items()])
+    kept = [c for c in placed.columns if c not in ("_tie", "_part", *scans)]
+    both = placed.alias("r").join(totals.alias("t"), on)
+    added = [add(F.col(f"r.{n}"), F.col(f"t._all_{n}")).alias(n) for n, (_, _, add) in scans.items()]
+    return both.select(*[F.col(f"r.`{c}`") for c in kept], *added)
 
 
 def let(value: Column, body) -> Column:

@@ -107,3 +107,28 @@ def op9(spark, d):
         F.col("toxicity").alias("score"),
         (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@register("op1_ann")
+def op1(spark, d):
+    from webtext.llm.ann import nearest
+
+    vectors = table(spark, d, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+END_OF_DOCUMENT = 50256
+
+
+@register("op4_separators")
+def op4(spark, d):
+    import public_tokenizers
+
+    from webtext.llm.byte_bpe import Vocabulary
+    from webtext.llm.separators import flatten, token_counts
+
+    vocabulary = Vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    docs = table(spark, d, "documents").select("doc_id", vocabulary.encode("text").alias("ids"))
+    blocks = flatten(docs, "ids", END_OF_DOCUMENT)
+    found = token_counts(blocks, END_OF_DOCUMENT, "<u2", label="closed")
+    return found.select(F.col("label").alias("doc_id"), "stream", "ordinal", "start", "n_tokens")
