@@ -132,3 +132,10 @@ def op4(spark, d):
     blocks = flatten(docs, "ids", END_OF_DOCUMENT)
     found = token_counts(blocks, END_OF_DOCUMENT, "<u2", label="closed")
     return found.select(F.col("label").alias("doc_id"), "stream", "ordinal", "start", "n_tokens")
+
+
+@register("op10_context_mixing")
+def op10(spark, d):
+    from webtext.llm.context_mixing import score
+
+    return score(table(spark, d, "documents"))
