@@ -139,3 +139,10 @@ def op10(spark, d):
     from webtext.llm.context_mixing import score
 
     return score(table(spark, d, "documents"))
+
+
+@register("pipeline")
+def pipeline(spark, d):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, d)
