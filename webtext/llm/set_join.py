@@ -4,8 +4,8 @@
 2. Similar classes are brought side by side: sorted by a minhash band that they share
    with others and cut into groups of at most ``GROUP`` classes.
 3. Each group stores the union of its tokens and which member has which token.
-4. A class queries the groups that hold a class with which it shares a band. If fewer
-   of its tokens than the threshold asks for are in the union, the group stays shut;
+4. The classes of a group query the groups with which theirs shares a band. If fewer
+   of a class's tokens than the threshold asks for are in the union, the group stays shut;
    otherwise its members are compared exactly.
 
 Bands only route queries to groups. A band holds 1 / (1 - t) minhashes, and there are so
@@ -223,13 +223,9 @@ def jaccard_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     tokens = tokens_of(texts.join(picked, same).select("cid", "copies", "g", "sid", "text"), width)
     tokens = materialize(tokens.dropDuplicates(["cid"]), "tokens")
 
-    routed = members.join(placed, "cid")
-    pairs = (
-        routed.select("sig", F.col("cid").alias("cid"), F.col("g").alias("home"))
-        .join(routed.select("sig", "g").distinct(), "sig").where("g >= home")
-        .select("cid", "home", "g").distinct()
-    )
-    pairs = materialize(pairs, "pairs")
+    routed = materialize(members.join(placed, "cid").select("sig", "g").distinct(), "routed")
+    near = routed.withColumnRenamed("g", "home").join(routed, "sig").where("g >= home").select("home", "g").distinct()
+    pairs = materialize(near.join(placed.withColumnRenamed("g", "home"), "home").select("cid", "home", "g"), "pairs")
     blocks = pairs.groupBy("g").agg(F.expr(f"(count(*) + {QUERIES_AT_ONCE - 1}) div {QUERIES_AT_ONCE}").alias("blocks"))
     members_of = tokens.join(blocks, "g").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks")
     queries = (
