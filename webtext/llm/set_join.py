@@ -1,8 +1,8 @@
 """N-gram Jaccard join by a token-group matrix.
 
 1. Equal shingle sets are one class, so copies cost nothing further.
-2. Similar classes are brought side by side: sorted by a minhash band that they share
-   with others and cut into groups of at most ``GROUP`` classes.
+2. Similar classes are brought side by side: sorted by the least class with which they
+   share a minhash band, and cut into groups of at most ``GROUP`` classes.
 3. Each group stores the union of its tokens and which member has which token.
 4. The classes of a group query the groups with which theirs shares a band. If fewer
    of a class's tokens than the threshold asks for are in the union, the group stays shut;
@@ -212,9 +212,10 @@ def jaccard_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     classes = materialize(classes, "classes")
     entries = classes.select("cid", F.explode("bands").alias("sig"))
     shared = entries.groupBy("sig").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo < hi")
-    members = materialize(entries.join(shared.select("sig"), "sig"), "members")
+    members = materialize(entries.join(shared.select("sig", "lo"), "sig"), "members")
 
-    homes = members.groupBy("cid").agg(F.min("sig").alias("home"))
+    # The least class that any of its bands leads to: similar classes mostly agree on it.
+    homes = members.groupBy("cid").agg(F.min("lo").alias("home"))
     placed = number_rows(homes, "home", "cid", name="pos").select("cid", F.expr(f"pos div {GROUP}").alias("g"))
     placed = materialize(placed, "groups")
     picked = classes.select("cid", "sid", "least", "th", "copies").join(placed, "cid")
