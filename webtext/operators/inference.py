@@ -46,7 +46,7 @@ def batch_inference(
             texts = frame["text"].tolist()
             for at in range(0, len(filled), batch_size):
                 places = filled[at : at + batch_size]
-                model = model or make_model()
+                model = make_model() if model is None else model
                 try:
                     done = attempt(model, [texts[i] for i in places])
                 except Exception:

@@ -60,7 +60,8 @@ def crawl_site(
 ) -> Crawl:
     """Crawl a page snapshot from the known URLs, or from ``start_url``.
 
-    A page is looked up by its normalised URL; a link without a page in the
+    A page is looked up by its normalised URL, seeds with a last slash, a query, a
+    fragment or parameters too; a link without a page in the
     snapshot is visited and fails. The start URL counts as discovered only if
     some page links to it.
     """
@@ -75,8 +76,12 @@ def crawl_site(
     held = materialize(per_page.groupBy("url").agg(F.min_by("links", "page_id").alias("links")), "links")
     if failed is not None:
         held = held.join(failed.select("url").distinct(), "url", "left_anti")
-    found = held.select("url", F.explode("links").alias("link"))
     seeds = links.crawl_seeds(known, start_url)
+    # A seed keeps its own spelling and loads the page of its normalised form.
+    other = seeds.select("url", U.normalize(F.col("url")).alias("page")).where("url <> page")
+    respelled = other.join(held.select(F.col("url").alias("page"), "links"), "page")
+    held = held.unionByName(respelled.select("url", "links"))
+    found = held.select("url", F.explode("links").alias("link"))
     reached = bounded_crawl(found, seeds, max_pages=max_pages).drop("success")
     loaded = held.select("url", F.lit(True).alias("_held"))
     reached = reached.join(loaded, "url", "left").select(

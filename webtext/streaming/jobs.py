@@ -54,10 +54,9 @@ def pace_requests(
 
     ``state`` holds the last request per domain after every micro-batch, which
     is all the next one needs. Requests of a domain must not arrive in a later
-    micro-batch than requests made after them. Domains idle for longer than
-    the delay are dropped from the state: their next wait is 0 either way.
+    micro-batch than requests made after them; clocks of different domains are
+    independent, so the state keeps every domain: one row each.
     """
-    delay_us = round(delay_seconds * 1_000_000)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -67,9 +66,6 @@ def pace_requests(
         write_batch(waits, out, batch_id)
         now = batch.groupBy("domain").agg(F.max("ts_us").alias("last_us"))
         merged = now.unionByName(last).groupBy("domain").agg(F.max("last_us").alias("last_us"))
-        newest = batch.agg(F.max("ts_us")).first()[0]
-        if newest is not None:
-            merged = merged.where(F.col("last_us") > newest - delay_us)
         write_batch(merged, state, batch_id)
 
     return _start(requests, on_batch, checkpoint, trigger)
