@@ -107,30 +107,30 @@ def rich_source(spark, d) -> DataFrame:
 @register("anchor_links", f"SELECT page_id, link FROM ({I.SQL_ANCHORS})")
 def anchor_links(spark, d):
     return rich_source(spark, d).select(
-        "page_id", F.explode(links.anchor_links(F.col("base"), F.col("html"))).alias("link")
+        "page_id", F.explode(links.anchor_links(F.col("base"), F.col("tags"))).alias("link")
     )
 
 
 @register("href_links", f"SELECT page_id, link FROM ({I.SQL_HREFS})")
 def href_links(spark, d):
     return rich_source(spark, d).select(
-        "page_id", F.explode(links.href_links(F.col("base"), F.col("html"))).alias("link")
+        "page_id", F.explode(links.href_links(F.col("base"), F.col("tags"))).alias("link")
     )
 
 
 @register("onclick_links", f"SELECT page_id, link FROM ({I.SQL_ONCLICK})")
 def onclick_links(spark, d):
-    return rich_source(spark, d).select("page_id", F.explode(links.onclick_links(F.col("html"))).alias("link"))
+    return rich_source(spark, d).select("page_id", F.explode(links.onclick_links(F.col("tags"))).alias("link"))
 
 
 @register("data_attr_links", f"SELECT page_id, link FROM ({I.SQL_DATA})")
 def data_attr_links(spark, d):
-    return rich_source(spark, d).select("page_id", F.explode(links.data_links(F.col("html"))).alias("link"))
+    return rich_source(spark, d).select("page_id", F.explode(links.data_links(F.col("tags"))).alias("link"))
 
 
 @register("resolve_links", f"SELECT page_id, href, link FROM ({I.SQL_ANCHORS})")
 def resolve_links(spark, d):
-    hrefs = F.explode(F.filter(links.anchor_hrefs(F.col("html")), U.is_followable))
+    hrefs = F.explode(F.filter(links.anchor_hrefs(F.col("tags")), U.is_followable))
     found = rich_source(spark, d).select("page_id", "base", hrefs.alias("href"))
     return found.select("page_id", "href", U.resolve(F.col("base"), F.col("href")).alias("link"))
 
@@ -141,13 +141,13 @@ def resolve_links(spark, d):
     WHERE href <> '' AND NOT regexp_matches(href, '{S.FOLLOWABLE}')""",
 )
 def followable_links(spark, d):
-    found = rich_source(spark, d).select("page_id", F.explode(links.anchor_hrefs(F.col("html"))).alias("href"))
+    found = rich_source(spark, d).select("page_id", F.explode(links.anchor_hrefs(F.col("tags"))).alias("href"))
     return found.where(U.is_followable(F.col("href")))
 
 
 def all_page_links(spark, d) -> DataFrame:
     return rich_source(spark, d).select(
-        "page_id", "url", F.explode(links.all_links(F.col("base"), F.col("html"))).alias("link")
+        "page_id", "url", F.explode(links.all_links(F.col("base"), F.col("tags"))).alias("link")
     )
 
 

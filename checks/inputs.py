@@ -136,7 +136,7 @@ def own_links(spark, sf_dir) -> DataFrame:
     from webtext.operators import links as L
 
     found = L.link_source(rich_pages(spark, sf_dir)).select(
-        "page_id", "url", L.all_links(F.col("base"), F.col("html")).alias("links")
+        "page_id", "url", L.all_links(F.col("base"), F.col("tags")).alias("links")
     )
     return found.select("page_id", F.explode(L.internal_links(F.col("links"), own_site())).alias("link"))
 

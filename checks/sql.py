@@ -107,6 +107,27 @@ def internal(u, s):
 
 
 # --- HTML -----------------------------------------------------------------
+REMOVED = "script|style|iframe|nav|footer|header|aside|noscript|meta|link|button|form|input|svg|path"
+VOID = "meta|link|input"
+BOILERPLATE = (
+    rf"(?is)<(?:(?:{REMOVED})(?:\s[^>]*)?/>|(?:{VOID})(?:\s[^>]*)?>|"
+    + "|".join(rf"{t}(?:\s[^>]*)?>.*?</{t}\s*>" for t in REMOVED.split("|") if t not in VOID.split("|")) + ")"
+)
+CLASS_OR_ID = r"""(?is)(<[a-z][^>]*?)\s(?:class|id)\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+INLINE = "a|b|cite|code|em|i|mark|q|s|small|span|strong|sub|sup|u"
+SINGLE_STRING_P = rf"(?is)<p(?:\s[^>]*)?>(?:<(?:{INLINE})(?:\s[^>]*)?>){{0,3}}([^<]+)(?:</(?:{INLINE})\s*>){{0,3}}</p\s*>"
+LIST_ITEM = r"(?is)<li(?:\s[^>]*)?>(.*?)</li\s*>"
+LINE_BREAK = r"(?is)<br\s*/?>"
+BOLD = r"(?is)<(?:b|strong)(?:\s[^>]*)?>([^<]*)</(?:b|strong)\s*>"
+ITALIC = r"(?is)<(?:i|em)(?:\s[^>]*)?>([^<]*)</(?:i|em)\s*>"
+CODE = r"(?is)<code(?:\s[^>]*)?>([^<]*)</code\s*>"
+MD_ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*["']?([^\s"'>]*)["']?[^>]*>(.*?)</a\s*>"""
+ANY_TAG = r"<[^>]+>"
+HTTP_URL = r"https?://[!$-_a-z]+"
+MD_LINK = r"\[([^\]]+)\]\([^\)]+\)"
+MANY_NEWLINES = r"\n{3,}"
+
+
 def entities(x):
     return reduce(lambda acc, e: f"replace({acc}, {q(e[0])}, {q(e[1])})", P.ENTITIES, x)
 
@@ -129,11 +150,11 @@ def title(h):
 
 
 def boilerplate(h):
-    return rr(h, P.BOILERPLATE)
+    return rr(h, BOILERPLATE)
 
 
 def class_id(h):
-    return rr(rr(h, P.CLASS_OR_ID, r"\1"), P.CLASS_OR_ID, r"\1")
+    return rr(rr(h, CLASS_OR_ID, r"\1"), CLASS_OR_ID, r"\1")
 
 
 def relative_anchors(h):
@@ -143,18 +164,18 @@ def relative_anchors(h):
 
 
 def paragraphs(h):
-    return rr(h, P.SINGLE_STRING_P, r"\1")
+    return rr(h, SINGLE_STRING_P, r"\1")
 
 
 def markup(h):
     for level in range(1, 7):
         h = rr(h, rf"(?is)<h{level}(?:\s[^>]*)?>(.*?)</h{level}\s*>", f"\n\n{'#' * level} \\1\n\n")
-    h = rr(h, P.LIST_ITEM, "\n* \\1")
-    h = rr(h, P.LINE_BREAK, "\n")
-    h = rr(h, P.BOLD, r"__\1__")
-    h = rr(h, P.ITALIC, r"_\1_")
-    h = rr(h, P.CODE, r"`\1`")
-    h = rr(h, P.MD_ANCHOR, r"[\2](\1)")
+    h = rr(h, LIST_ITEM, "\n* \\1")
+    h = rr(h, LINE_BREAK, "\n")
+    h = rr(h, BOLD, r"__\1__")
+    h = rr(h, ITALIC, r"_\1_")
+    h = rr(h, CODE, r"`\1`")
+    h = rr(h, MD_ANCHOR, r"[\2](\1)")
     return entities(h)
 
 
@@ -168,15 +189,15 @@ def blank_lines(t):
 
 
 def tags(t):
-    return rr(t, P.ANY_TAG)
+    return rr(t, ANY_TAG)
 
 
 def urls(t):
-    return rr(t, P.HTTP_URL)
+    return rr(t, HTTP_URL)
 
 
 def md_links(t):
-    return rr(t, P.MD_LINK, r"\1")
+    return rr(t, MD_LINK, r"\1")
 
 
 def spaces(t):
@@ -188,7 +209,7 @@ def symbol_lines(t):
 
 
 def spacing(t):
-    return rr(rr(t, P.MANY_NEWLINES, "\n\n"), rf"\A{WS}+|{WS}+\z")
+    return rr(rr(t, MANY_NEWLINES, "\n\n"), rf"\A{WS}+|{WS}+\z")
 
 
 def chain(source: str, column: str, *steps, keep: str) -> str:

@@ -137,3 +137,51 @@ def test_symbol_lines_on_random_lines(spark):
         return "\n".join(kept + lines[-1:])
 
     assert apply(spark, for_lines, H.drop_symbol_lines) == [model(t) for t in for_lines]
+
+
+@pytest.mark.parametrize("step, text, want", [
+    (H.unwrap_paragraphs, "<p><span><b><i><u>x</u></i></b></span></p>", "x"),
+    (H.unwrap_paragraphs, "<p><font>x</font></p><p><div>y</div></p>", "xy"),
+    (H.unwrap_paragraphs, "<p><br>x</p>", "<p><br>x</p>"),
+    (H.strip_class_and_id, "<p class=a id='b' class=\"c > d\" id=e data-id=f>class=g</p>", "<p data-id=f>class=g</p>"),
+    (H.strip_class_and_id, "a class=b <i hidden class=c>d</i>", "a class=b <i hidden>d</i>"),
+    (H.strip_boilerplate, "a<nav>b</nav>c<script>d<p>e", "ac"),
+    (H.strip_boilerplate, "a<form x", "a"),
+    (H.markup_to_markdown, "<li>a</li><li>b", "\n* a<li>b"),
+    (H.markup_to_markdown, "<h1>a<h2>b</h2>", "<h1>a\n\n## b\n\n"),
+    (H.drop_relative_links, "<a href=/x>a</a><a href=/y>b", "<a href=/y>b"),
+    (H.unwrap_markdown_links, "[a [b](c) [d] e](f) [g [h] i [j](k", "a [b [d] e](f) [g [h] i [j](k"),
+    (H.strip_tags, "a<b>c<d", "ac<d"),
+])
+def test_unclosed_and_nested_parts(spark, step, text, want):
+    assert apply(spark, [text], step) == [want]
+
+
+def test_text_that_shows_markup_gives_no_links(spark):
+    from webtext.operators import links as L
+
+    page = (
+        "<pre>&lt;div onclick=\"window.location.href='https://a/1'\" data-u=\"https://a/2\"&gt;</pre>"
+        "<div title='a > b' onclick=\"window.location.href='https://a/3'\" data-u=https://a/4><!-- <a href=https://a/5>"
+    )
+    df = spark.createDataFrame([(1, "https://a/", page)], "page_id int, url string, html string")
+    row = L.link_source(df).select(L.all_links(F.col("base"), F.col("tags")).alias("x")).first()
+    assert sorted(row.x) == ["https://a/3", "https://a/4"]
+
+
+@pytest.mark.parametrize("unit", ["<li>item text ", "<a ", "[", "<", "<nav>x ", "<article>", "<h1>x <h2>y ", "<p><b>", "<a href=/x>y ", "[x] ", "<b ", '<i class="a" ', "<!-- "])
+def test_unclosed_parts_take_linear_time(spark, unit):
+    import time
+
+    def seconds(size: int) -> float:
+        df = spark.createDataFrame([(unit * (size // len(unit)),)], "v string")
+        start = time.time()
+        df.select(F.length(H.html_to_markdown(F.col("v"))), F.size(L.start_tags(F.col("v")))).collect()
+        return time.time() - start
+
+    from webtext.operators import links as L
+
+    seconds(1_000)
+    small, large = seconds(24_000), seconds(960_000)
+    # 40 times the text; by the square it would be 1,600 times the time.
+    assert large < 80 * max(small, 0.1)

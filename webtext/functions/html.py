@@ -18,13 +18,37 @@ def _steps(c: Column, *steps) -> Column:
     return reduce(lambda acc, step: step(acc), steps, c)
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def closed(c: Column, end: str, *edits) -> Column:
+    """Apply ``edits`` to the text up to the last match of ``end``; the rest stays.
+
+    The result is that of edits on the whole text by patterns that must close with
+    ``end``, but no opener looks in vain for its end, so time stays linear.
+    """
+
+    def run(x: Column) -> Column:
+        head = F.regexp_extract(x, rf"(?is)\A.*{end}", 0)
+        return _let(head, lambda h: F.concat(_steps(h, *edits), F.substr(x, F.length(h) + 1)))
+
+    return _let(c, run)
+
+
+def _replacing(pattern: str, replacement: str):
+    return lambda c: F.regexp_replace(c, pattern, replacement)
+
+
 def decode_entities(c: Column) -> Column:
     return reduce(lambda acc, e: F.replace(acc, F.lit(e[0]), F.lit(e[1])), P.ENTITIES, c)
 
 
 def title(html: Column) -> Column:
     """Page title, entities decoded and ASCII whitespace collapsed."""
-    raw = decode_entities(F.regexp_extract(html, P.TITLE, 1))
+    upto = F.regexp_extract(html, rf"(?is)\A.*{P.TITLE_END}", 0)
+    raw = decode_entities(F.regexp_extract(upto, P.TITLE, 1))
     return F.regexp_replace(F.regexp_replace(raw, r"[\t\n\f\r ]+", " "), r"\A | \z", "")
 
 
@@ -33,13 +57,12 @@ def strip_boilerplate(html: Column) -> Column:
 
 
 def strip_class_and_id(html: Column) -> Column:
-    once = F.regexp_replace(html, P.CLASS_OR_ID, "$1")
-    return F.regexp_replace(once, P.CLASS_OR_ID, "$1")
+    return F.regexp_replace(html, P.CLASS_OR_ID, "$1$2")
 
 
 def drop_relative_links(html: Column) -> Column:
     """Delete anchors whose href is not http(s), together with their text."""
-    return F.regexp_replace(html, P.RELATIVE_ANCHOR, "")
+    return closed(html, P.A_END, _replacing(P.RELATIVE_ANCHOR, ""))
 
 
 def unwrap_paragraphs(html: Column, paragraph_breaks: bool = False) -> Column:
@@ -56,18 +79,16 @@ def unwrap_paragraphs(html: Column, paragraph_breaks: bool = False) -> Column:
 
 def markup_to_markdown(html: Column) -> Column:
     """Headings, list items, breaks, emphasis, code and links; then entities."""
-    out = F.regexp_replace(html, P.HEADING, f"\n\n{P.HEADING_MARK}$1 $2\n\n")
-    for level in range(1, 7):
-        out = F.replace(out, F.lit(f"{P.HEADING_MARK}{level}"), F.lit("#" * level))
+    headings = [lambda c, end=end, edit=_replacing(*edit): closed(c, end, edit) for end, *edit in P.HEADINGS]
+    out = closed(_steps(html, *headings), P.LI_END, _replacing(P.LIST_ITEM, "\n* $1"))
     for pattern, replacement in (
-        (P.LIST_ITEM, "\n* $1"),
         (P.LINE_BREAK, "\n"),
         (P.BOLD, "__$1__"),
         (P.ITALIC, "_$1_"),
         (P.CODE, "`$1`"),
-        (P.MD_ANCHOR, "[$2]($1)"),
     ):
         out = F.regexp_replace(out, pattern, replacement)
+    out = closed(out, P.A_END, _replacing(P.MD_ANCHOR, "[$2]($1)"))
     return decode_entities(out)
 
 
@@ -81,7 +102,7 @@ def collapse_blank_lines(text: Column) -> Column:
 
 
 def strip_tags(text: Column) -> Column:
-    return F.regexp_replace(text, P.ANY_TAG, "")
+    return closed(text, P.TAG_END, _replacing(P.ANY_TAG, ""))
 
 
 def strip_urls(text: Column) -> Column:
@@ -89,7 +110,8 @@ def strip_urls(text: Column) -> Column:
 
 
 def unwrap_markdown_links(text: Column) -> Column:
-    return F.regexp_replace(text, P.MD_LINK, "$1")
+    edit = _replacing(P.MD_LINK_OR_BRACKET, "$1$2")
+    return closed(text, P.MD_END, lambda c: closed(c, P.MD_LINK_END, edit))
 
 
 def squeeze_spaces(text: Column) -> Column:

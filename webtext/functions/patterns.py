@@ -1,8 +1,11 @@
 """Regular expressions and word lists shared by the column functions.
 
-All patterns run inside Spark's built-in regexp functions (Java syntax). None
-uses an alternation inside an unbounded repeat, so a hostile page cannot
-overflow the regex engine's stack.
+All patterns run inside Spark's built-in regexp functions (Java syntax). Groups are
+repeated without bound only possessively, which the engine runs as a loop, so a
+hostile page cannot overflow its stack. No pattern scans far from an opener that may
+never be closed: gaps inside a tag end at the next angle bracket, and patterns with a
+closing part run only on the text up to the last such part (``html.closed``), so
+time grows in proportion to the page.
 """
 
 # --- Fixed values ---------------------------------------------------------
@@ -49,62 +52,74 @@ ORIGIN = r"\A([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
 # quotes, QUOTES removes them.
 ATTR_VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
 QUOTES = r"""\A["']|["']\z"""
-ANCHOR_HREF = r"(?is)<a\s(?:[^>]*?\s)?href\s*=\s*" + ATTR_VALUE
-ANY_HREF = r"(?is)<[a-z][^>]*?\shref\s*=\s*" + ATTR_VALUE
+# Start tags; quoted values may hold angle brackets.
+START_TAG = r"""(?is)<[a-z](?:[^<>"']++|"[^"]*+"|'[^']*+')*+>"""
+ANCHOR_HREF = r"(?is)\A<a\s(?:[^>]*?\s)?href\s*=\s*" + ATTR_VALUE
+ANY_HREF = r"(?is)\A<[a-z][^>]*?\shref\s*=\s*" + ATTR_VALUE
 ONCLICK = r"(?is)\sonclick\s*=\s*" + ATTR_VALUE
 DATA_URL = r"""(?is)\sdata-[a-z0-9_.-]+\s*=\s*("http[^"]*"|'http[^']*'|http[^\s"'>]+)"""
-# Parts of a page that a browser does not expose as elements.
+# Parts of a page that a browser does not expose as elements; without their end they
+# take the rest of the page.
 OPAQUE = (
-    r"(?is)<(?:script(?:\s[^>]*)?>.*?</script\s*>"
-    r"|style(?:\s[^>]*)?>.*?</style\s*>"
-    r"|noscript(?:\s[^>]*)?>.*?</noscript\s*>"
-    r"|!--.*?-->)"
+    r"(?is)<(?:script(?:\s[^>]*+)?+(?:>|\z).*?(?:</script\s*+>|\z)"
+    r"|style(?:\s[^>]*+)?+(?:>|\z).*?(?:</style\s*+>|\z)"
+    r"|noscript(?:\s[^>]*+)?+(?:>|\z).*?(?:</noscript\s*+>|\z)"
+    r"|!--.*?(?:-->|\z))"
 )
 
 # --- HTML to markdown -----------------------------------------------------
 # Of the removed elements, those that never have a closing tag.
 VOID_TAGS = ("meta", "link", "input")
-# Elements that may sit alone inside a paragraph.
-INLINE_TAGS = ("a", "b", "cite", "code", "em", "i", "mark", "q", "s", "small",
-               "span", "strong", "sub", "sup", "u")
+# Elements without content, which make a paragraph hold more than a single string.
+EMPTY_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 
 
 def _boilerplate() -> str:
     any_tag, void = "|".join(BOILERPLATE_TAGS), "|".join(VOID_TAGS)
-    branches = [rf"(?:{any_tag})(?:\s[^>]*)?/>", rf"(?:{void})(?:\s[^>]*)?>"]
-    branches += [rf"{t}(?:\s[^>]*)?>.*?</{t}\s*>" for t in BOILERPLATE_TAGS if t not in VOID_TAGS]
+    rest = r"(?:\s[^>]*+)?+(?:>|\z)"
+    branches = [rf"(?:{any_tag})(?:\s[^>]*)?/>", rf"(?:{void}){rest}"]
+    branches += [rf"{t}{rest}.*?(?:</{t}\s*+>|\z)" for t in BOILERPLATE_TAGS if t not in VOID_TAGS]
     return "(?is)<(?:" + "|".join(branches) + ")"
 
 
 # One pass over the page: the leftmost element goes first, with all it holds.
 # The leading "<" stays outside the alternation so that other characters are
-# skipped at once.
+# skipped at once. An element that is never closed takes the rest of the page.
 BOILERPLATE = _boilerplate()
-CLASS_OR_ID = r"""(?is)(<[a-z][^>]*?)\s(?:class|id)\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+# Walks a start tag: its name (group 1), then attribute by attribute from where the last
+# match ended; kept attributes are group 2.
+CLASS_OR_ID = (
+    r"""(?is)(<[a-z][^\s<>]*+)|(?!\A)\G(?:\s++(?:class|id)\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'<>]++)"""
+    r"""|(\s++[^\s<>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'<>]++))?+))"""
+)
 # The atomic group pins the first href, so the look-ahead sees its real value.
 RELATIVE_ANCHOR = (
-    r"""(?is)<a\s(?>(?:[^>]*?\s)?href\s*=\s*)(?!["']?(?-i:https?://))[^>]*>.*?</a\s*>"""
+    r"""(?is)<a\s(?>(?:[^<>]*?\s)?href\s*=\s*)(?!["']?(?-i:https?://))[^<>]*+>.*?</a\s*>"""
 )
+# Elements of any name and depth around one string.
 SINGLE_STRING_P = (
-    r"(?is)<p(?:\s[^>]*)?>(?:<(?:{0})(?:\s[^>]*)?>){{0,3}}([^<]+)(?:</(?:{0})\s*>){{0,3}}</p\s*>"
-).format("|".join(INLINE_TAGS))
+    r"(?is)<p(?:\s[^<>]*+)?+>(?:<(?!(?:p|{0})[\s/>])[a-z][^<>]*+>)*+([^<]++)(?:</(?!p\s*+>)[a-z][^<>]*+>)*+</p\s*+>"
+).format("|".join(EMPTY_TAGS))
 PARAGRAPH_TAG = r"(?is)</?p(?:\s[^>]*)?>"
-TITLE = r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>"
-# One pass for all levels: the level digit follows HEADING_MARK until it is
-# replaced by as many "#".
-HEADING = r"(?is)<h([1-6])(?:\s[^>]*)?>(.*?)</h\1\s*>"
-HEADING_MARK = "\x01"
-LIST_ITEM = r"(?is)<li(?:\s[^>]*)?>(.*?)</li\s*>"
-LINE_BREAK = r"(?is)<br\s*/?>"
-BOLD = r"(?is)<(?:b|strong)(?:\s[^>]*)?>([^<]*)</(?:b|strong)\s*>"
-ITALIC = r"(?is)<(?:i|em)(?:\s[^>]*)?>([^<]*)</(?:i|em)\s*>"
-CODE = r"(?is)<code(?:\s[^>]*)?>([^<]*)</code\s*>"
-MD_ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*["']?([^\s"'>]*)["']?[^>]*>(.*?)</a\s*>"""
+TITLE = r"(?is)<title(?:\s[^<>]*+)?+>(.*?)</title\s*+>"
+TITLE_END = r"</title\s*+>"
+HEADINGS = tuple((rf"</h{n}\s*+>", rf"(?is)<h{n}(?:\s[^<>]*+)?+>(.*?)</h{n}\s*+>", f"\n\n{'#' * n} $1\n\n") for n in range(1, 7))
+LIST_ITEM = r"(?is)<li(?:\s[^<>]*+)?+>(.*?)</li\s*+>"
+LINE_BREAK = r"(?is)<br\s*+/?>"
+BOLD = r"(?is)<(?:b|strong)(?:\s[^<>]*+)?+>([^<]*+)</(?:b|strong)\s*+>"
+ITALIC = r"(?is)<(?:i|em)(?:\s[^<>]*+)?+>([^<]*+)</(?:i|em)\s*+>"
+CODE = r"(?is)<code(?:\s[^<>]*+)?+>([^<]*+)</code\s*+>"
+MD_ANCHOR = r"""(?is)<a\s(?>(?:[^<>]*?\s)?href\s*=\s*["']?)([^\s"'<>]*+)["']?[^<>]*+>(.*?)</a\s*+>"""
+# Closing parts, for ``html.closed``.
+LI_END, A_END, TAG_END = r"</li\s*+>", r"</a\s*+>", ">"
+MD_END, MD_LINK_END = r"\)", r"\]\([^)]*+\)"
 
 # --- Markdown cleaning ----------------------------------------------------
 # Anchored at both ends: a text without an article is left as it is, and an
 # empty article gives an empty text.
-FIRST_ARTICLE = r"(?s)\A.*?<article[^>]*>(.*?)</article>.*\z"
+FIRST_ARTICLE = r"(?s)\A(?>.*?<article[^<>]*+>)(.*?)</article>.*\z"
+# A bracket that no address follows is passed over (group 1), as are those within it.
+MD_LINK_OR_BRACKET = rf"(\[[^\]]*+\](?!\([^)]+\)))|{MD_LINK}".replace(r"\[([^\]]+)\]", r"\[([^\]]++)\]")
 BLANK_LINES = rf"\n{WS}*\n"
 SPACES = r" {2,}"
 SYMBOL_LINES = rf"(?md)^{NON_WORD}+$\n"

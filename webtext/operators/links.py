@@ -17,8 +17,8 @@ from webtext.operators.ordering import union_all
 from webtext.sources.shared import spread
 
 
-def _attribute_values(html: Column, pattern: str) -> Column:
-    found = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
+def _attribute_values(tags: Column, pattern: str) -> Column:
+    found = F.flatten(F.transform(tags, lambda t: F.regexp_extract_all(t, F.lit(pattern), F.lit(1))))
     return F.transform(found, lambda v: decode_entities(F.regexp_replace(v, P.QUOTES, "")))
 
 
@@ -27,39 +27,45 @@ def visible_html(html: Column) -> Column:
     return F.regexp_replace(html, P.OPAQUE, "")
 
 
-def anchor_hrefs(html: Column) -> Column:
-    return _attribute_values(html, P.ANCHOR_HREF)
+def start_tags(html: Column) -> Column:
+    """The start tags of a page in their order. Attributes are read from these alone, so
+    text that shows markup gives no links."""
+    return F.regexp_extract_all(visible_html(html), F.lit(P.START_TAG), F.lit(0))
 
 
-def anchor_links(base: Column, html: Column) -> Column:
+def anchor_hrefs(tags: Column) -> Column:
+    return _attribute_values(tags, P.ANCHOR_HREF)
+
+
+def anchor_links(base: Column, tags: Column) -> Column:
     """Followable ``a[href]`` targets, resolved against ``base_parts`` ``base``."""
-    hrefs = F.filter(anchor_hrefs(html), U.is_followable)
+    hrefs = F.filter(anchor_hrefs(tags), U.is_followable)
     return F.transform(hrefs, lambda h: U.resolve(base, h))
 
 
-def href_links(base: Column, html: Column) -> Column:
+def href_links(base: Column, tags: Column) -> Column:
     """Targets of every element with an ``href``; a bare ``#x`` gives the page."""
-    links = F.transform(_attribute_values(html, P.ANY_HREF), lambda h: U.resolve(base, h))
+    links = F.transform(_attribute_values(tags, P.ANY_HREF), lambda h: U.resolve(base, h))
     return F.filter(links, lambda x: ~x.rlike(r"(?i)\A(?:javascript|mailto|tel):"))
 
 
-def onclick_links(html: Column) -> Column:
+def onclick_links(tags: Column) -> Column:
     """Targets that click handlers assign to the location, as written."""
-    handlers = _attribute_values(html, P.ONCLICK)
+    handlers = _attribute_values(tags, P.ONCLICK)
     return F.flatten(
         F.transform(handlers, lambda h: F.regexp_extract_all(h, F.lit(P.ONCLICK_TARGET), F.lit(1)))
     )
 
 
-def data_links(html: Column) -> Column:
+def data_links(tags: Column) -> Column:
     """``data-*`` values that start with ``http``."""
-    return _attribute_values(html, P.DATA_URL)
+    return _attribute_values(tags, P.DATA_URL)
 
 
-def all_links(base: Column, html: Column) -> Column:
+def all_links(base: Column, tags: Column) -> Column:
     """Distinct links of one page over the four methods."""
     methods = F.concat(
-        anchor_links(base, html), href_links(base, html), onclick_links(html), data_links(html)
+        anchor_links(base, tags), href_links(base, tags), onclick_links(tags), data_links(tags)
     )
     return F.array_distinct(methods)
 
@@ -71,17 +77,17 @@ def internal_links(links: Column, site: Column | str) -> Column:
 
 
 def link_source(pages: DataFrame) -> DataFrame:
-    """Pages with ``base`` and the visible ``html``, computed once for all methods."""
+    """Pages with ``base`` and their start ``tags``, computed once for all methods."""
     kept = [c for c in pages.columns if c != "html"]
     return spread(pages).select(
-        *kept, U.base_parts(F.col("url")).alias("base"), visible_html(F.col("html")).alias("html")
+        *kept, U.base_parts(F.col("url")).alias("base"), start_tags(F.col("html")).alias("tags")
     )
 
 
 def page_links(pages: DataFrame, site: Column | str) -> DataFrame:
     """``url, link``: internal links of every page."""
     found = link_source(pages.select("url", "html")).select(
-        "url", all_links(F.col("base"), F.col("html")).alias("links")
+        "url", all_links(F.col("base"), F.col("tags")).alias("links")
     )
     return found.select("url", F.explode(internal_links(F.col("links"), site)).alias("link"))
 

@@ -70,7 +70,7 @@ def crawl_site(
     per_page = links.link_source(pages.withColumn("url", U.normalize(F.col("url")))).select(
         "url",
         "page_id",
-        links.internal_links(links.all_links(F.col("base"), F.col("html")), site).alias("links"),
+        links.internal_links(links.all_links(F.col("base"), F.col("tags")), site).alias("links"),
     )
     # Of several copies of a page the first one counts, as one visit loads one copy.
     held = materialize(per_page.groupBy("url").agg(F.min_by("links", "page_id").alias("links")), "links")
