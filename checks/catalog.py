@@ -636,8 +636,8 @@ def chunk_words(spark, d):
 
 @register(
     "rejoin_chunks",
-    f"""SELECT document_id, (chunk_idx // 10000)::BIGINT AS part, string_agg(chunk, chr(10) ORDER BY chunk_idx) AS text,
-    count(*) AS pieces FROM ({SQL_CHUNKS}) GROUP BY 1, 2""",
+    f"""SELECT document_id, string_agg(chunk, chr(10) ORDER BY chunk_idx) AS text,
+    count(*) AS pieces FROM ({SQL_CHUNKS}) GROUP BY 1""",
 )
 def rejoin_chunks(spark, d):
     cut = chunks.chunk_words(spread(I.docs(spark, d)))
@@ -650,7 +650,7 @@ def rejoin_chunks(spark, d):
     FROM conversations GROUP BY 1, 2""",
 )
 def rejoin_turns(spark, d):
-    return chunks.rejoin(I.table(spark, d, "conversations"), "conv_id", "turn", "text", "text")
+    return chunks.rejoin(I.table(spark, d, "conversations"), "conv_id", "turn", "text", "text", part_size=10_000)
 
 
 SQL_SEGMENTS = f"""SELECT document_id, (idx - 1)::INTEGER AS seg_idx, printf('%04d.wav', idx - 1) AS seg_name, s[idx] AS text
@@ -665,11 +665,11 @@ def speech_segments(spark, d):
 
 @register(
     "speech_playlist",
-    f"""SELECT document_id, (seg_idx // 10000)::BIGINT AS part, string_agg(seg_name, chr(10) ORDER BY seg_idx) AS playlist,
-    count(*) AS pieces FROM ({SQL_SEGMENTS}) GROUP BY 1, 2""",
+    f"""SELECT document_id, string_agg(seg_name, chr(10) ORDER BY seg_idx) AS playlist,
+    count(*) AS pieces FROM ({SQL_SEGMENTS}) GROUP BY 1""",
 )
 def speech_playlist(spark, d):
-    return chunks.speech_playlist(chunks.speech_segments(spread(I.docs(spark, d))))
+    return chunks.speech_playlist(spread(I.docs(spark, d)))
 
 
 @register(
@@ -720,12 +720,12 @@ SQL_EN_WORDS = f"""SELECT DISTINCT w AS word, '_' || w AS translation FROM (
 
 @register(
     "glossary_table_translate",
-    f"""SELECT document_id, (chunk_idx // 10000)::BIGINT AS part, string_agg(line, chr(10) ORDER BY chunk_idx) AS text,
+    f"""SELECT document_id, string_agg(line, chr(10) ORDER BY chunk_idx) AS text,
       count(*) AS pieces FROM (
       SELECT document_id, chunk_idx, string_agg(coalesce(translation, word), ' ' ORDER BY pos) AS line FROM (
         SELECT document_id, chunk_idx, unnest(string_split(chunk, ' ')) AS word,
           generate_subscripts(string_split(chunk, ' '), 1) AS pos FROM ({SQL_CHUNKS}))
-      LEFT JOIN ({SQL_EN_WORDS}) USING (word) GROUP BY document_id, chunk_idx) GROUP BY 1, 2""",
+      LEFT JOIN ({SQL_EN_WORDS}) USING (word) GROUP BY document_id, chunk_idx) GROUP BY 1""",
 )
 def glossary_table_translate(spark, d):
     """Glossary taken from the texts themselves: the longer words of the English documents."""
@@ -771,10 +771,9 @@ def batch_inference(spark, d):
 
 @register(
     "model_translate",
-    f"""SELECT document_id, (chunk_idx // 10000)::BIGINT AS part,
-      string_agg(replace(chunk, 'e', 'E'), chr(10) ORDER BY chunk_idx) AS text, count(*) AS pieces
+    f"""SELECT document_id, string_agg(replace(chunk, 'e', 'E'), chr(10) ORDER BY chunk_idx) AS text, count(*) AS pieces
     FROM ({SQL_CHUNKS}) WHERE document_id NOT IN (SELECT document_id FROM ({SQL_CHUNKS}) WHERE chunk LIKE '%zz%')
-    GROUP BY 1, 2""",
+    GROUP BY 1""",
 )
 def model_translate(spark, d):
     """Chunks with a double z fail, and their documents with them."""

@@ -61,6 +61,31 @@ def test_rejoin_parts_are_the_whole_text(spark):
     assert "\n".join(r.text for r in got if r.k == "a") == "\n".join(f"x{i}" for i in range(25))
 
 
+def test_long_text_is_rejoined_in_one_row(spark):
+    pieces = spark.range(12_001).select(F.lit("a").alias("k"), "id", F.col("id").cast("string").alias("v"))
+    got = chunks.rejoin(pieces, "k", "id", "v", "text").collect()
+    assert [(r.k, r.pieces) for r in got] == [("a", 12_001)]
+    assert got[0].text.split("\n") == [str(i) for i in range(12_001)]
+
+
+def test_playlist_is_made_in_the_row(spark):
+    docs = spark.createDataFrame([(1, "A. B! c"), (2, ""), (3, None), (4, "x. " * 12_000)], "document_id int, text string")
+    got = {r.document_id: (r.playlist, r.pieces) for r in chunks.speech_playlist(docs).collect()}
+    assert got[1] == ("0000.wav\n0001.wav\n0002.wav", 3)
+    assert set(got) == {1, 4} and got[4][0].endswith(f"\n{got[4][1] - 1}.wav") and got[4][1] >= 12_000
+
+
+def test_stage_takes_a_glossary_of_any_size(spark):
+    from webtext.plans import stages
+
+    docs = docs_of(spark, ["the cat of x", "   "])
+    large = GLOSSARY | {str(i): "y" for i in range(T.MAX_GLOSSARY)}
+    table = spark.createDataFrame(list(GLOSSARY.items()), "word string, translation string")
+    want = sorted(map(str, stages.translations(docs, GLOSSARY).collect()))
+    assert sorted(map(str, stages.translations(docs, large).collect())) == want
+    assert sorted(map(str, stages.translations(docs, table).collect())) == want
+
+
 GLOSSARY = {"the": "le", "of": "du tout", "x": ""}
 
 

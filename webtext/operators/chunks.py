@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from webtext.functions import text as T
 
-PART_SIZE = 10_000
-
 
 def chunk_words(docs: DataFrame, size: int = T.CHUNK_WORDS) -> DataFrame:
     """``document_id, chunk_idx, chunk``; a document without words has none."""
@@ -24,23 +22,29 @@ def speech_segments(docs: DataFrame) -> DataFrame:
 
 
 def rejoin(
-    pieces: DataFrame, key: str, position: str, value: Column | str, name: str, part_size: int = PART_SIZE
+    pieces: DataFrame, key: str, position: str, value: Column | str, name: str, part_size: int | None = None
 ) -> DataFrame:
-    """``key, part, name, pieces``: values joined by newlines in their order.
+    """``key, name, pieces``: values joined by newlines in their order.
 
-    A key with more than ``part_size`` positions gives several parts, which
-    joined in order are the whole text; so no task gathers an unbounded group.
-    Positions count from 0.
+    Pieces cut from one row make a group no larger than that row. For pieces that came
+    as rows of their own, so that a key may have any number of them, ``part_size`` adds
+    ``part``: a key with more positions (counted from 0) gives several parts, which
+    joined in order are the whole text, and no task gathers an unbounded group.
     """
     value = F.col(value) if isinstance(value, str) else value
-    part = F.expr(f"cast({position} as bigint) div {part_size}").alias("part")
+    keys = [F.col(key)]
+    if part_size:
+        keys.append(F.expr(f"cast({position} as bigint) div {part_size}").alias("part"))
     ordered = F.array_sort(F.collect_list(F.struct(F.col(position).alias("p"), value.alias("v"))))
-    return pieces.groupBy(key, part).agg(
+    return pieces.groupBy(*keys).agg(
         F.array_join(F.transform(ordered, lambda x: x["v"]), "\n").alias(name),
         F.count("*").alias("pieces"),
     )
 
 
-def speech_playlist(segments: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
-    """Ordered segment names of every track, see ``rejoin``."""
-    return rejoin(segments, "document_id", "seg_idx", "seg_name", "playlist", part_size)
+def speech_playlist(docs: DataFrame) -> DataFrame:
+    """``document_id, playlist, pieces``: ordered segment names of every track, made in the
+    document's own row; a document without segments has none."""
+    counted = docs.select("document_id", F.size(T.segments(F.col("text"))).cast("long").alias("pieces")).where("pieces > 0")
+    names = F.transform(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1), T.segment_name)
+    return counted.select("document_id", F.array_join(names, "\n").alias("playlist"), "pieces")

@@ -6,13 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webtext.functions import text as T
-from webtext.operators.chunks import PART_SIZE, chunk_words, rejoin
+from webtext.operators.chunks import chunk_words, rejoin
 
 
-def translate_with_table(
-    docs: DataFrame, glossary: DataFrame, size: int = T.CHUNK_WORDS, part_size: int = PART_SIZE
-) -> DataFrame:
-    """``document_id, part, text, pieces`` for ``document_id, text``.
+def translate_with_table(docs: DataFrame, glossary: DataFrame, size: int = T.CHUNK_WORDS) -> DataFrame:
+    """``document_id, text, pieces`` for ``document_id, text``; blank texts have no row.
 
     ``glossary`` has one row per ``word`` with its ``translation``. Each word
     of the texts is a row here. Spark broadcasts a glossary that is small enough by
@@ -26,4 +24,4 @@ def translate_with_table(
     lines = found.groupBy("document_id", "chunk_idx").agg(
         F.array_join(F.transform(ordered, lambda x: x["w"]), " ").alias("line")
     )
-    return rejoin(lines, "document_id", "chunk_idx", "line", "text", part_size)
+    return rejoin(lines, "document_id", "chunk_idx", "line", "text")

@@ -78,7 +78,7 @@ def translate_with_model(
 ) -> tuple[DataFrame, DataFrame]:
     """Model translation chunk by chunk: texts, and ``document_id, error, success``.
 
-    The texts are ``document_id, part, text, pieces`` as ``rejoin`` gives them.
+    The texts are ``document_id, text, pieces`` as ``rejoin`` gives them.
     A document fails with the error of its first failed chunk. Outputs of the
     model are written once, because both results read them.
     """

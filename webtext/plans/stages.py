@@ -14,6 +14,7 @@ from webtext.functions import text as T
 from webtext.functions import urls as U
 from webtext.operators import chunks, links, outcomes
 from webtext.operators.crawl import bounded_crawl
+from webtext.operators.glossary import translate_with_table
 from webtext.operators.inference import batch_inference
 from webtext.operators.ordering import number_rows
 from webtext.operators.summary import summarize
@@ -134,9 +135,20 @@ def summaries(docs: DataFrame) -> DataFrame:
     return _derived(out, "_summary.txt", "summary", error)
 
 
-def translations(docs: DataFrame, glossary: Mapping[str, str]) -> DataFrame:
-    """``document_id, name, text, error, success`` for ``document_id, text``."""
-    out = compute_once(docs.select("document_id", "text"), translated=T.translate(F.col("text"), glossary))
+def translations(docs: DataFrame, glossary: Mapping[str, str] | DataFrame) -> DataFrame:
+    """``document_id, name, text, error, success`` for ``document_id, text``.
+
+    A glossary of any size: as a table (``word, translation``), or a mapping, which
+    becomes a table when it is too large for a literal.
+    """
+    if not isinstance(glossary, DataFrame) and len(glossary) > T.MAX_GLOSSARY:
+        glossary = docs.sparkSession.createDataFrame(list(glossary.items()), "word string, translation string")
+    if isinstance(glossary, DataFrame):
+        done = translate_with_table(docs.select("document_id", "text"), glossary)
+        done = done.select("document_id", F.nullif("text", F.lit("")).alias("translated"))
+        out = docs.select("document_id").join(done, "document_id", "left")
+    else:
+        out = compute_once(docs.select("document_id", "text"), translated=T.translate(F.col("text"), glossary))
     error = F.when(F.col("translated").isNull(), outcomes.EMPTY_TEXT)
     return _derived(out, "_translated.txt", "translated", error)
 
@@ -197,7 +209,7 @@ def pipeline(
     pages: DataFrame,
     site: str,
     start_url: str,
-    glossary: Mapping[str, str],
+    glossary: Mapping[str, str] | DataFrame,
     stamp: Column,
     known: DataFrame | None = None,
     failed: DataFrame | None = None,
