@@ -535,6 +535,18 @@ def robots_results(spark, d):
     return outcomes.robots_results(targets(spark, d), I.robots_log(spark, d))
 
 
+@register(
+    "robots_url_results",
+    f"""SELECT p.url, CASE WHEN ok THEN 'successful' ELSE 'failed' END AS outcome,
+    CASE WHEN ok THEN replace(split_part(p.url, '/', 3), '.', '_') || '_20250422_150845_robots.txt' END AS file,
+    CASE WHEN NOT ok THEN 'Failed to fetch or save' END AS reason
+    FROM pages p JOIN (SELECT o, status = 200 AND body <> '' AS ok FROM ({I.ROBOTS_LOG}))
+    ON split_part(p.url, '/', 1) || '//' || split_part(p.url, '/', 3) = o""",
+)
+def robots_url_results(spark, d):
+    return outcomes.robots_url_results(pages(spark, d), targets(spark, d), I.robots_log(spark, d))
+
+
 @register("robots_outcome", f"SELECT outcome, count(*) AS urls FROM ({SQL_ROBOTS}) GROUP BY outcome")
 def robots_outcome(spark, d):
     return outcomes.robots_outcome(outcomes.robots_results(targets(spark, d), I.robots_log(spark, d)))

@@ -148,3 +148,26 @@ def test_recent_pages_is_a_top_k_plan(spark, sf):
     newest = ordering.recent_pages(listed, F.lit("2024-01-02").cast("timestamp_ntz"), F.lit("2024-02-01").cast("timestamp_ntz"), 5)
     plan = newest._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan and "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan
+
+
+def test_recent_pages_of_a_large_k_are_the_same_rows(spark, monkeypatch):
+    listed = spark.range(1000).select("id", F.expr("timestamp_seconds(id div 3)").alias("created_at"))
+    bounds = F.expr("timestamp_seconds(10)"), F.expr("timestamp_seconds(300)")
+    expected = [r.id for r in ordering.recent_pages(listed, *bounds, 100).collect()]
+    monkeypatch.setattr(ordering, "TOP_K_ROWS", 10)
+    newest = ordering.recent_pages(listed, *bounds, 100)
+    assert sorted(r.id for r in newest.collect()) == sorted(expected)
+    assert expected[:4] == [897, 898, 899, 894]
+
+
+def test_robots_results_of_every_url(spark):
+    from webtext.operators import outcomes
+
+    urls = spark.createDataFrame([("http://a/x",), ("http://a/y",), ("http://a/y",), ("http://b/",), ("http://c/",), ("none",), (None,)], "url string")
+    responses = spark.createDataFrame([("http://a/robots.txt", 200, "x"), ("http://b/robots.txt", 200, "")], "robots_url string, status int, body string")
+    targets = outcomes.robots_targets(urls, F.lit("s"))
+    rows = [(r.url, r.outcome, r.file) for r in outcomes.robots_url_results(urls, targets, responses).collect()]
+    file = targets.where("origin = 'http://a'").first().file
+    expected = [("http://a/x", "successful", file)] + 2 * [("http://a/y", "successful", file)]
+    expected += [(u, "failed", None) for u in ("http://b/", "http://c/", "none", None)]
+    assert sorted(rows, key=str) == sorted(expected, key=str)

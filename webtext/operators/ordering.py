@@ -49,7 +49,10 @@ def number_rows(df: DataFrame, *order: Column | str, name: str = "pos") -> DataF
 
 
 def first_rows(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
-    """First ``n`` rows in order; a large ``n`` is cut by position, not by one task."""
+    """First ``n`` rows in order; a large ``n`` is cut by position, not by one task.
+
+    ``order`` must be total: among ties either way may keep other rows.
+    """
     if n <= TOP_K_ROWS:
         return df.orderBy(*order).limit(n)
     return number_rows(df, *order, name="_pos").where(F.col("_pos") < n).drop("_pos")
@@ -74,7 +77,9 @@ def random_order(urls: DataFrame, seed: int) -> DataFrame:
 def recent_pages(metadata: DataFrame, start, end, k: int) -> DataFrame:
     """Newest ``k`` pages with ``start <= created_at < end``.
 
-    A top-k plan: every task keeps its own ``k`` rows. On a table written by
+    A top-k plan for small ``k``: every task keeps its own ``k`` rows; a large
+    ``k`` is cut by position (see ``first_rows``), and its rows come unsorted. Ids
+    must be unique among rows of one time. On a table written by
     ``append_metadata`` the date bounds also prune partitions.
     """
     bounds = [F.lit(b) if not isinstance(b, Column) else b for b in (start, end)]
@@ -83,7 +88,7 @@ def recent_pages(metadata: DataFrame, start, end, k: int) -> DataFrame:
         in_range &= (F.col("created_date") >= F.to_date(bounds[0])) & (
             F.col("created_date") <= F.to_date(bounds[1])
         )
-    return metadata.where(in_range).orderBy(F.col("created_at").desc(), F.col("id")).limit(k)
+    return first_rows(metadata.where(in_range), k, F.col("created_at").desc(), F.col("id"))
 
 
 def in_blocks(df: DataFrame, keys: list[str], position: str, block: int, hot_rows: int) -> DataFrame:

@@ -100,6 +100,23 @@ def robots_results(targets: DataFrame, responses: DataFrame) -> DataFrame:
     )
 
 
+def robots_url_results(urls: DataFrame, targets: DataFrame, responses: DataFrame) -> DataFrame:
+    """``url, outcome, file, reason`` of every row of ``urls``: that of its origin.
+
+    Each origin is captured once, whatever the number of its URLs. A URL without
+    an origin failed. Results have one row per origin, so a hot origin meets a
+    single row and its URLs may be split among tasks.
+    """
+    results = robots_results(targets, responses).withColumnRenamed("url", "origin")
+    asked = urls.select("url", U.origin(F.col("url")).alias("origin"))
+    return asked.join(results, "origin", "left").select(
+        "url",
+        F.coalesce("outcome", F.lit("failed")).alias("outcome"),
+        "file",
+        F.when(F.col("outcome").isNull(), ROBOTS_FAILED).otherwise(F.col("reason")).alias("reason"),
+    )
+
+
 def robots_outcome(results: DataFrame) -> DataFrame:
     return results.groupBy("outcome").agg(F.count("*").alias("urls"))
 
