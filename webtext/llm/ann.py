@@ -49,13 +49,29 @@ def cosines(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.einsum("ij,j->i", x, q) / (np.sqrt(np.einsum("ij,ij->i", x, x)) * sqrt(float(np.einsum("i,i->", q, q))))
 
 
-def best(ids: np.ndarray, x: np.ndarray, rough: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k nearest rows, ties to the smaller id: exact for all that could be among them."""
-    if len(rough) > k:
-        keep = rough >= np.partition(rough, -k)[-k] - 1e-9
+def repeats(ids: np.ndarray) -> bool:
+    return len(np.unique(ids)) < len(ids)
+
+
+def per_id(ids: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The largest value of each id."""
+    order = np.argsort(ids, kind="stable")
+    firsts = np.flatnonzero(np.r_[True, ids[order][1:] != ids[order][:-1]])
+    return np.maximum.reduceat(values[order], firsts)
+
+
+def best(ids: np.ndarray, x: np.ndarray, rough: np.ndarray, q: np.ndarray, k: int, repeated: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The k nearest ids by their nearest row, ties to the smaller id: exact for all that
+    could be among them. ``repeated`` tells whether rows may share an id."""
+    tops = per_id(ids, rough) if repeated else rough
+    if len(tops) > k:
+        keep = rough >= np.partition(tops, -k)[-k] - 1e-9
         ids, x = ids[keep], x[keep]
     score = cosines(x, q)
-    order = np.lexsort((ids, -score))[:k]
+    order = np.lexsort((ids, -score))
+    if repeated:
+        order = order[np.sort(np.unique(ids[order], return_index=True)[1])]
+    order = order[:k]
     return ids[order], score[order]
 
 
@@ -67,6 +83,7 @@ def search_block(k: int):
         out: list[tuple] = []
         if len(vectors) and len(queries):
             ids = vectors.vec_id.to_numpy()
+            repeated = repeats(ids)
             x = np.array(vectors.embedding.tolist(), np.float64)
             u = unit(x)
             n, a = len(u), lines(x.shape[1])
@@ -77,20 +94,21 @@ def search_block(k: int):
                 q = np.asarray(vector, np.float64)
                 uq = unit(q[None])[0]
                 if np.isfinite(radius):
-                    seen = candidates(arrays, order, uq @ a, uq, u, radius, least, k)
+                    seen = candidates(arrays, order, uq @ a, uq, u, radius, least, k, ids if repeated else None)
                 else:
                     seen = np.arange(n)
                 seen = seen[ids[seen] != query_id]
                 if len(seen):
-                    found, score = best(ids[seen], x[seen], u[seen] @ uq, q, k)
+                    found, score = best(ids[seen], x[seen], u[seen] @ uq, q, k, repeated)
                     out.extend((query_id, i, s) for i, s in zip(found.tolist(), score.tolist()))
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
     return run
 
 
-def candidates(arrays, order, center, uq, u, radius, least, k) -> np.ndarray:
-    """Verified vectors: those with ``least`` collisions by the radius at which the query stops."""
+def candidates(arrays, order, center, uq, u, radius, least, k, ids=None) -> np.ndarray:
+    """Verified vectors: those with ``least`` collisions by the radius at which the query stops.
+    With ``ids``, rows of an id count once for the stop, by the nearest."""
     n = arrays.shape[1]
     counts = np.zeros(n, np.int64)
     lo = [int(np.searchsorted(arrays[i], center[i])) for i in range(LINES)]
@@ -107,8 +125,10 @@ def candidates(arrays, order, center, uq, u, radius, least, k) -> np.ndarray:
         seen = np.flatnonzero(counts >= least)
         if len(seen) > k:
             # Enough verified vectors (the query itself may be one) within the radius so far.
-            near = np.partition(2 - 2 * (u[seen] @ uq), k)[k]
-            if near <= (radius * step) ** 2:
+            tops = u[seen] @ uq
+            if ids is not None:
+                tops = per_id(ids[seen], tops)
+            if len(tops) > k and np.partition(2 - 2 * tops, k)[k] <= (radius * step) ** 2:
                 break
     return seen
 
@@ -131,7 +151,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     are returned.
 
     Every query meets every block (a stated query set, in blocks); blocks and groups of
-    queries are bounded. Each block returns k rows a query, and so does the sample of at
+    queries are bounded. Each block returns k ids a query, and so does the sample of at
     most ``SAMPLE`` vectors that bounds the radius.
     """
     rows = usable(vectors)
@@ -147,6 +167,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
 
     def bound(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = {d: unit(x) for d, (_, x) in by_dim.items()}
+        repeated = {d: repeats(ids) for d, (ids, _) in by_dim.items()}
         for part in parts:
             out = []
             for query_id, vector in zip(*[c.to_pylist() for c in part.columns]):
@@ -155,8 +176,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
                 other = ids != query_id
                 found, score = np.empty(0, np.int64), np.empty(0)
                 if other.any():
-                    found, score = best(ids[other], x[other], units[len(q)][other] @ unit(q[None])[0], q, k)
-                radius = sqrt(max(0.0, 2 - 2 * score[-1])) + 1e-6 if len(found) == k and len(set(found.tolist())) == k else float("inf")
+                    found, score = best(ids[other], x[other], units[len(q)][other] @ unit(q[None])[0], q, k, repeated[len(q)])
+                radius = sqrt(max(0.0, 2 - 2 * score[-1])) + 1e-6 if len(found) == k else float("inf")
                 out.append((query_id, vector, radius, found, score))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
 
