@@ -1,12 +1,14 @@
 """Removal of repeated passages by hashing lines and the sentences within them.
 
-A unit is a sentence of at least ``MIN_WORDS`` words, or what lies between two of them
-on a line. The key of such a run of short sentences takes in the long sentence before
-it, unless the run has enough words itself. Boundaries and keys depend only on the words
-around them, so a passage is cut alike wherever it stands. Words are normalised (lower
-case, punctuation at their edges dropped), digests of keys are grouped over all
-documents, the earliest occurrence stays and the others go. Keys below ``MIN_WORDS``
-words are never removed.
+A unit is a sentence, or the part of one on its line. The key of a unit of at least
+``MIN_WORDS`` words is the unit. A shorter one is keyed together with its neighbours:
+those after it, then those before it, on its line; if the line is too short, likewise
+in its paragraph, then in the text. So keys of a line or paragraph that is long enough
+depend on nothing outside it, and it goes as a whole wherever it is repeated. Words are
+normalised (lower case, punctuation at their edges dropped); in scripts without spaces
+two characters count as a word. Digests of keys are grouped over all documents, the
+earliest occurrence stays and the others go. Keys below ``MIN_WORDS`` words (texts
+shorter than that) are never removed.
 """
 
 from __future__ import annotations
@@ -22,40 +24,61 @@ from pyspark.sql import functions as F
 from webtext.sources.shared import materialize
 
 MIN_WORDS = 8
-# White space that ends a sentence or a line.
-BREAK = regex.compile(r"(?<=[.!?])\s++|(?<!\s)[^\S\n]*+\n\s*+")
+# Ends a sentence or a line, with the white space after it.
+BREAK = regex.compile(r"(?<=[.!?])\s++|(?<=[。！？｡])\s*+|(?<!\s)[^\S\n]*+\n\s*+")
 EDGES = regex.compile(r"^[^\w]+|[^\w]+$")
+# Characters of scripts written without spaces, with their marks.
+UNSPACED = r"[\p{Han}\p{Hiragana}\p{Katakana}ー\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}\p{Tai_Le}\p{New_Tai_Lue}\p{Tai_Tham}\p{Tai_Viet}\p{Javanese}\p{Balinese}]\p{M}*+"
+HAS_UNSPACED = regex.compile(UNSPACED)
+PAIRS = regex.compile(rf"(?:{UNSPACED}){{1,2}}+|(?:(?!{UNSPACED}).)++", regex.DOTALL)
 
 
 def normal_words(text: str) -> list[str]:
-    return [w for w in (EDGES.sub("", x) for x in text.lower().split()) if w]
+    words = text.lower().split()
+    if HAS_UNSPACED.search(text):
+        words = [x for w in words for x in PAIRS.findall(w)]
+    return [w for w in (EDGES.sub("", x) for x in words) if w]
 
 
 def units(text: str | None) -> list[tuple[int, int, list[str], list[str]]]:
     """``(start, end, words, key)`` of each unit: offsets in code points, the white space
     after the unit included; units cover the text without gaps."""
-    out, start, at = [], 0, 0
-    short: list[str] = []
-    long: list[str] = []
-    text = text or ""
-
-    def end_run(end: int) -> None:
-        if end > start:
-            out.append((start, end, short, short if len(short) >= MIN_WORDS else long + short))
-
-    for end, gap in [*((m.end(), m.group()) for m in BREAK.finditer(text)), (len(text), "\n")]:
-        words = normal_words(text[at:end])
-        if len(words) >= MIN_WORDS:
-            end_run(at)
-            out.append((at, end, words, words))
-            start, short, long = end, [], words
-        else:
-            short = short + words
-            if "\n" in gap:
-                end_run(end)
-                start, short = end, []
+    text, at = text or "", 0
+    # Line and paragraph of each piece, by number.
+    pieces: list[tuple[int, int, list[str]]] = []
+    scopes: list[tuple[int, int, int]] = []
+    line = paragraph = 0
+    for end, gap in [*((m.end(), m.group()) for m in BREAK.finditer(text)), (len(text), "")]:
+        if end > at:
+            pieces.append((at, end, normal_words(text[at:end])))
+            scopes.append((line, paragraph, 0))
+        line += "\n" in gap
+        paragraph += gap.count("\n") > 1
         at = end
-    return out
+    # Pieces without words are no neighbours, so each step adds a word at least.
+    worded = [i for i, piece in enumerate(pieces) if piece[2]]
+    keys = {i: key_of(n, worded, pieces, scopes) for n, i in enumerate(worded)}
+    return [(start, end, words, keys.get(i, [])) for i, (start, end, words) in enumerate(pieces)]
+
+
+def key_of(n: int, worded: list[int], pieces: list[tuple[int, int, list[str]]], scopes: list[tuple[int, int, int]]) -> list[str]:
+    """Words of the ``n``-th piece that has any, with neighbours up to ``MIN_WORDS``. Beside
+    neighbours its first word is marked: two pieces may be keyed by the same words."""
+    key = pieces[worded[n]][2]
+    if len(key) >= MIN_WORDS:
+        return key
+    for level in range(3):
+        own = scopes[worded[n]][level]
+        key = ["\0" + pieces[worded[n]][2][0], *pieces[worded[n]][2][1:]]
+        for step in (1, -1):
+            at = n + step
+            while len(key) < MIN_WORDS and 0 <= at < len(worded) and scopes[worded[at]][level] == own:
+                words = pieces[worded[at]][2]
+                key = key + words if step > 0 else words + key
+                at += step
+        if len(key) >= MIN_WORDS:
+            break
+    return key
 
 
 def unit_rows(docs: DataFrame) -> DataFrame:
