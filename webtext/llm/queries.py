@@ -9,6 +9,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from webtext.llm import sql as SQL_TEXTS
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -141,6 +143,18 @@ def op10(spark, d):
     return score(table(spark, d, "documents"))
 
 
+@register("op13_fill_in_middle", SQL_TEXTS.OP13)
+def op13(spark, d):
+    from webtext.llm.fill_in_middle import fill_in_middle, restored
+
+    made = fill_in_middle(table(spark, d, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored("output", "form"), 256).alias("restored_sha256"),
+    )
+
+
 @register("pipeline")
 def pipeline(spark, d):
     import corpus_pipeline
