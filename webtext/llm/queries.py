@@ -143,6 +143,16 @@ def op10(spark, d):
     return score(table(spark, d, "documents"))
 
 
+@register("op12_conversation_trie", SQL_TEXTS.OP12)
+def op12(spark, d):
+    from webtext.llm.conversation_trie import digest_turns, grafted, prefix_trie
+    from webtext.sources.shared import materialize
+
+    turns = materialize(digest_turns(table(spark, d, "conversations")), "turns")
+    ids = turns.select("conv_id").distinct()
+    return prefix_trie(materialize(grafted(turns, ids), "grafted"), ids).drop("key", "parent")
+
+
 @register("op13_fill_in_middle", SQL_TEXTS.OP13)
 def op13(spark, d):
     from webtext.llm.fill_in_middle import fill_in_middle, restored

@@ -29,3 +29,52 @@ SELECT doc_id, n, form,
        sha256(text) AS restored_sha256
 FROM parts
 """
+
+# crc32 of a decimal number: eight shifts a byte, by a fold over its characters.
+_STEP = "CASE WHEN {0} & 1 = 1 THEN xor({0} >> 1, 3988292384) ELSE {0} >> 1 END"
+
+
+def _crc32(text: str) -> str:
+    inner = "list_reduce(list_prepend(xor(a, x), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda acc, i: " + _STEP.format("acc") + ")"
+    codes = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda a, x: {inner}), 4294967295)"
+
+
+OP12 = f"""
+WITH turns AS (
+    SELECT conv_id, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+           len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS words,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+               sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+    SELECT conv_id, list({{'d': digest, 'w': words}} ORDER BY pos) AS ts FROM turns GROUP BY conv_id
+), heads AS (
+    SELECT *, {_crc32("conv_id::VARCHAR")} % 4 AS h FROM own
+), rebuilt AS (
+    SELECT heads.conv_id, list_concat(coalesce(b.ts, [])[1:h], heads.ts[h + 1:]) AS ts
+    FROM heads LEFT JOIN own b ON b.conv_id = heads.conv_id - heads.conv_id % 20
+), prefixes AS (
+    SELECT conv_id, len(ts) AS whole, unnest(range(0, len(ts) + 1)) AS depth, ts FROM rebuilt
+), keyed AS (
+    SELECT conv_id, whole, depth, sha256(array_to_string(list_transform(ts[1:depth], lambda t: t.d), '')) AS key,
+           CASE WHEN depth > 0 THEN sha256(array_to_string(list_transform(ts[1:depth - 1], lambda t: t.d), '')) END AS parent,
+           CASE WHEN depth > 0 THEN ts[depth].w ELSE 0 END AS words
+    FROM prefixes
+), nodes AS (
+    SELECT key, any_value(parent) AS parent, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+           any_value(words) AS words,
+           sha256(coalesce(string_agg(CASE WHEN depth = whole THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256
+    FROM keyed GROUP BY key
+), children AS (
+    SELECT parent AS key, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+), below AS (
+    SELECT k.key, sum(CASE WHEN c.n_children IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_leaves,
+           sum((n.n_convs - 1) * n.words)::BIGINT AS saved_tokens
+    FROM nodes n JOIN keyed k ON k.conv_id = n.conv_id AND k.depth <= n.depth LEFT JOIN children c ON c.key = n.key
+    GROUP BY k.key
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+       coalesce(c.n_children, 0)::BIGINT AS n_children, b.n_leaves, b.saved_tokens, n.ends_sha256
+FROM nodes n JOIN below b USING (key) LEFT JOIN children c USING (key) LEFT JOIN nodes p ON p.key = n.parent
+"""
