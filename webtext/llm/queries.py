@@ -143,6 +143,13 @@ def op10(spark, d):
     return score(table(spark, d, "documents"))
 
 
+@register("op11_flat_graph", SQL_TEXTS.OP11)
+def op11(spark, d):
+    from webtext.llm.flat_graph import near_vectors
+
+    return near_vectors(table(spark, d, "embeddings")).drop("recall")
+
+
 @register("op12_conversation_trie", SQL_TEXTS.OP12)
 def op12(spark, d):
     from webtext.llm.conversation_trie import digest_turns, grafted, prefix_trie

@@ -78,3 +78,22 @@ SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_con
        coalesce(c.n_children, 0)::BIGINT AS n_children, b.n_leaves, b.saved_tokens, n.ends_sha256
 FROM nodes n JOIN below b USING (key) LEFT JOIN children c USING (key) LEFT JOIN nodes p ON p.key = n.parent
 """
+
+OP11 = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+      AND len(list_filter(embedding, lambda e: e <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.x) = len(b.x) AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.x, b.x) >= 0.98
+), reach(vec_id, other) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION
+    SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.other
+)
+SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e
+JOIN (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id) c USING (vec_id)
+LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) n USING (vec_id)
+"""
