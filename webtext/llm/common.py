@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from webtext.sources.shared import materialize
@@ -11,6 +11,21 @@ from webtext.sources.shared import materialize
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+# Texts can be long: few rows at once come from a file and go to a Python worker.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
+}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Set ``BATCHES`` for the session. They are read when a job starts, so they stay set;
+    results do not depend on them."""
+    for name, value in BATCHES.items():
+        spark.conf.set(name, value)
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Words of a text with A-Z in lower case, as UTF-8; none for null."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []

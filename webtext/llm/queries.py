@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webtext.llm import sql as SQL_TEXTS
+from webtext.llm.common import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -23,8 +24,7 @@ def register(name: str, sql: str | None = None):
             paths = spark.sparkContext.environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
             if ROOT not in paths.split(os.pathsep):
                 spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, paths]))
-            # Texts can be long: few rows at once go to a Python worker.
-            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+            small_batches(spark)
             return query(spark, sf_dir)
 
         QUERIES[name] = run
