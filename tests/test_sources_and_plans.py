@@ -209,3 +209,15 @@ def test_directory_run(spark, tmp_path, new_dir):
         assert got == {"a.md": ("a" + suffix, None, True), "b.md": (None, "empty text", False)}
         assert [tuple(r) for r in spark.read.parquet(out).collect()] == [("a" + suffix, text)]
         assert tuple(outcomes.outcome_rollup(rows).first()) == (1, 1)
+
+
+def test_work_folders_are_listed_and_removed(spark):
+    with shared.work_listed() as made:
+        kept = shared.materialize(spark.range(3), "inside")
+    outside = shared.materialize(spark.range(2), "outside")
+    assert len(made) == 1 and kept.count() == 3
+    shared.remove_work(spark, made)
+    shared.remove_work(spark, made)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(made[0])
+    assert outside.count() == 2

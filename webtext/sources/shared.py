@@ -9,11 +9,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SPREAD_BYTES = 8 << 20
+MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
@@ -27,7 +31,29 @@ def work_dir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="webtext-")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if (made := MADE.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def work_listed() -> Iterator[list[str]]:
+    """List of the work folders named inside; remove them when nothing reads them any more."""
+    made: list[str] = []
+    token = MADE.set(made)
+    try:
+        yield made
+    finally:
+        MADE.reset(token)
+
+
+def remove_work(spark: SparkSession, paths: list[str]) -> None:
+    """Remove work folders, in whatever store they are; those that are gone are passed over."""
+    conf = spark._jsc.hadoopConfiguration()
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
