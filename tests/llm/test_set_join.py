@@ -70,6 +70,16 @@ def test_odd_rows(odd, no_docs):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(map(str, [1, 3, 4, None, 5, 6, 7, 8]))
 
 
+def test_one_text_stays_of_rows_without_or_with_one_id(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, "a b c d e f"), (None, "a b c d e f"), (None, "quite another text here now"), (None, long), (None, long + " x"), (5, long + " x y"), (7, "p q r s t u"), (7, "some other words of id seven")]
+    kept = keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = [(1, "a b c d e f"), (None, "quite another text here now"), (5, long + " x y"), (7, "p q r s t u"), (7, "some other words of id seven")]
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, want))
+    nameless = keep_one(spark.createDataFrame([(None, long), (None, long + " x"), (None, "")], "doc_id long, text string"))
+    assert nameless.count() == 2
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)]

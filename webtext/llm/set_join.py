@@ -188,7 +188,12 @@ def matches(percent: int):
 
 
 def jaccard_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``doc_id, n_shingles, component_id, n_links`` of each row of ``docs``.
+    """``doc_id, n_shingles, component_id, n_links`` of each row of ``docs`` (see ``named_rows``)."""
+    return named_rows(docs, width, percent).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def named_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``doc_id, th, n_shingles, component_id, n_links, stays`` of each row of ``docs``.
 
     Two documents link when ``100 * common >= percent * union`` of their distinct
     shingles of ``width`` words (A-Z in lower case; fewer words are one shingle).
@@ -196,6 +201,8 @@ def jaccard_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     and blank texts have no shingles and no links: each is a component of its own.
     Repeated rows link with each other; null ids take part and name no component, so it
     is null where no document of the component has an id. ``n_links`` counts rows.
+    ``stays`` marks one text of each component, that of the least id (null last, then the
+    least hash ``th`` of the text), and texts without words.
     """
     if not 50 <= percent <= 100:
         raise ValueError("percent must be 50 to 100")
@@ -241,23 +248,27 @@ def jaccard_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))
     ids = classes.select("cid", "sid", "least", "copies").join(joined.withColumnRenamed("node", "cid"), "cid", "left")
     ids = materialize(ids.withColumn("root", F.coalesce("root", "cid")).join(links, "cid", "left"), "components")
-    least = ids.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = ids.join(least, "root").select("sid", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    ids = ids.join(classes.select("cid", "th"), "cid")
+    first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "th"))
+    least = ids.groupBy("root").agg(first.alias("first")).select("root", F.col("first.least").alias("component_id"), F.col("first.th").alias("first_th"))
+    named = ids.join(least, "root").select("sid", "component_id", "first_th", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = sketches.drop("bands").join(named, "sid", "left")
+    chosen = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("th") == F.col("first_th"))
     return out.select(
-        "doc_id",
+        "doc_id", "th",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        ((F.col("n") == 0) | chosen).alias("stays"),
     )
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each component: the one of least id.
 
-    Texts without words are kept. Rows that share the least id are kept together when
-    their texts are equal; null ids are kept only if no other document links to them.
+    Texts without words are kept. Rows equal in id and text are one document: all of
+    them stay or go. Of a component without any id the text of the least hash stays.
     """
-    found = jaccard_components(docs, width, percent)
-    kept = found.where("component_id = doc_id or component_id is null").select("doc_id").distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi").select(*docs.columns)
+    kept = named_rows(docs, width, percent).where("stays").select("doc_id", "th").distinct().alias("k")
+    same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.xxhash64("d.text") == F.col("k.th"))
+    return docs.alias("d").join(kept, same, "left_semi").select(*[F.col(f"d.`{c}`") for c in docs.columns])
