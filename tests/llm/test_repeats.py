@@ -1,7 +1,7 @@
 """Removal of repeated units against a plain pass over the sorted documents."""
 
 from webtext.llm.queries import QUERIES
-from webtext.llm.repeats import MIN_WORDS, normal_words, repeated, units, without_repeats
+from webtext.llm.repeats import EDGES, MIN_WORDS, normal_words, repeated, units, without_repeats
 
 PASSAGE = "Here stands a sentence of quite some words indeed. Short one. Another long sentence follows it with many more words, to be sure! And yet another that goes on for a good while too."
 
@@ -43,6 +43,18 @@ def test_passage_inside_other_lines(spark):
     assert "".join(rows[1][1][c["start"] : c["end"]] for c in out[2]["removed"]) == PASSAGE + "\n"
 
 
+def test_common_units_are_joined_apart(spark):
+    rows = [(i, f"{PASSAGE} own{i} words of text {i} that no one else has{i} for all that{i} is.") for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, repeated(df).drop("th").collect()))
+    assert len(want) == 1199 * 4 and want == brute(rows)
+
+
+def test_words_at_edges():
+    for text in ("--a_b-- _x_ 'don't' (ü)… «é», ... 5% \u00b2 a\u0301. \u2014", "_", "^`{|}~\\", "x"):
+        assert normal_words(text) == [w for w in (EDGES.sub("", x) for x in text.lower().split()) if w]
+
+
 def test_odd_rows(odd, no_docs):
     out = without_repeats(odd)
     assert out.columns == [*odd.columns, "removed"]

@@ -24,9 +24,12 @@ from pyspark.sql import functions as F
 from webtext.sources.shared import materialize
 
 MIN_WORDS = 8
+# A digest with more than this share of all units is joined without a shuffle.
+HOT_SHARE = 1 / 1000
 # Ends a sentence or a line, with the white space after it.
 BREAK = regex.compile(r"(?<=[.!?])\s++|(?<=[。！？｡])\s*+|(?<!\s)[^\S\n]*+\n\s*+")
 EDGES = regex.compile(r"^[^\w]+|[^\w]+$")
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~"
 # Characters of scripts written without spaces, with their marks.
 UNSPACED = r"[\p{Han}\p{Hiragana}\p{Katakana}ー\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}\p{Tai_Le}\p{New_Tai_Lue}\p{Tai_Tham}\p{Tai_Viet}\p{Javanese}\p{Balinese}]\p{M}*+"
 HAS_UNSPACED = regex.compile(UNSPACED)
@@ -35,9 +38,11 @@ PAIRS = regex.compile(rf"(?:{UNSPACED}){{1,2}}+|(?:(?!{UNSPACED}).)++", regex.DO
 
 def normal_words(text: str) -> list[str]:
     words = text.lower().split()
-    if HAS_UNSPACED.search(text):
+    if not text.isascii() and HAS_UNSPACED.search(text):
         words = [x for w in words for x in PAIRS.findall(w)]
-    return [w for w in (EDGES.sub("", x) for x in words) if w]
+    # Most words need no expression: they are letters but for marks at the edges.
+    words = [w if w.isalpha() else w.strip(MARKS) for w in words]
+    return [w for w in (x if x.isalpha() else EDGES.sub("", x) for x in words) if w]
 
 
 def units(text: str | None) -> list[tuple[int, int, list[str], list[str]]]:
@@ -108,12 +113,16 @@ def repeated(docs: DataFrame) -> DataFrame:
     The earliest occurrence is that of the least id (null ids last, then the hash of the
     text), and in it the first. Rows equal in id and text count as one document: they
     keep and lose the same units. Null, empty and short texts have no units. Digests are
-    combined before the shuffle, so a line found everywhere is no single group.
+    combined before the shuffle, so a line found everywhere is no single group; the digests
+    of more than ``HOT_SHARE`` of all units, at most its inverse, are broadcast to them.
     """
     rows = materialize(unit_rows(docs), "units")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("kept_doc_id"), F.col("th").alias("kept_th"))
     many = rows.groupBy("digest").agg(F.min(rank).alias("kept"), F.count("*").alias("times")).where("times > 1")
-    hits = rows.join(many, "digest")
+    many = materialize(many, "repeated")
+    hot = F.col("times") > max(1000, int(rows.count() * HOT_SHARE))
+    common = F.broadcast(many.where(hot))
+    hits = rows.join(common, "digest").unionByName(rows.join(common, "digest", "left_anti").join(many.where(~hot), "digest"))
     own = F.col("doc_id").eqNullSafe(F.col("kept.kept_doc_id")) & (F.col("th") == F.col("kept.kept_th"))
     return hits.where(~own | F.col("again")).select("doc_id", "th", "start", "end", "n_words", F.col("kept.kept_doc_id").alias("kept_doc_id"))
 
