@@ -52,8 +52,68 @@ def title(html: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(raw, r"[\t\n\f\r ]+", " "), r"\A | \z", "")
 
 
+# Tags folded in one go by ``without_nested``; copying what a fold has gathered costs time
+# in proportion to this many.
+TAGS_AT_ONCE = 256
+
+
+def without_nested(html: Column) -> Column:
+    """The page without removed elements, however deep elements of one name are nested.
+
+    The tags of removed elements are read in one scan and folded in order: an element
+    opens, its depth counts start and closing tags of its own name, and all is dropped
+    until the depth is 0 again. Other tags inside do not count, a closing tag of nothing
+    open is text, and an element that is never closed takes the rest of the page.
+    """
+    tags = F.regexp_extract_all(html, F.lit(P.BOILERPLATE_TOKEN), F.lit(0))
+    gaps = F.split(html, P.BOILERPLATE_TOKEN, -1)
+    word = lambda t: F.lower(F.regexp_extract(t, r"\A</?([A-Za-z]+)", 1))
+    single = lambda t: t.endswith("/>") | word(t).isin(*P.VOID_TAGS, *P.RAW_TAGS)
+    items = F.zip_with(
+        tags, F.slice(gaps, F.lit(2), F.greatest(F.size(gaps) - 1, F.lit(0))),
+        lambda t, g: F.struct(
+            word(t).alias("name"), F.when(t.startswith("</"), -1).when(single(t), 0).otherwise(1).alias("step"), t.alias("tag"), g.alias("gap")
+        ),
+    )
+
+    def fold(state: Column, item: Column) -> Column:
+        idle = state["depth"] == 0
+        own = state["name"] == item["name"]
+        depth = (
+            F.when(idle, F.greatest(item["step"], F.lit(0))).when(own, state["depth"] + item["step"]).otherwise(state["depth"])
+        )
+        piece = (
+            F.when(depth > 0, "").when(idle & (item["step"] < 0), F.concat(item["tag"], item["gap"])).otherwise(item["gap"])
+        )
+        return F.struct(
+            F.when(idle, item["name"]).otherwise(state["name"]).alias("name"), depth.alias("depth"),
+            F.array_append(state["kept"], piece).alias("kept"),
+        )
+
+    def fold_block(state: Column, block: Column) -> Column:
+        start = F.struct(state["name"].alias("name"), state["depth"].alias("depth"), F.array().cast("array<string>").alias("kept"))
+        done = F.aggregate(block, start, fold)
+        return F.struct(
+            done["name"].alias("name"), done["depth"].alias("depth"),
+            F.array_append(state["kept"], F.array_join(done["kept"], "")).alias("kept"),
+        )
+
+    def run(found: Column) -> Column:
+        count = F.greatest(F.ceil(F.size(found) / TAGS_AT_ONCE).cast("int"), F.lit(1))
+        blocks = F.transform(F.sequence(F.lit(0), count - 1), lambda b: F.slice(found, b * TAGS_AT_ONCE + 1, F.lit(TAGS_AT_ONCE)))
+        start = F.struct(F.lit("").alias("name"), F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
+        return F.array_join(F.aggregate(blocks, start, fold_block)["kept"], "")
+
+    return F.concat(gaps[0], _let(items, run))
+
+
 def strip_boilerplate(html: Column) -> Column:
-    return F.regexp_replace(html, P.BOILERPLATE, "")
+    """The page without menus, scripts, forms and the like, with all they hold.
+
+    One expression does it, but for pages where an element is nested in one of its own
+    name: only for these are tags counted.
+    """
+    return _let(html, lambda h: F.when(h.rlike(P.NESTED_BOILERPLATE), without_nested(h)).otherwise(F.regexp_replace(h, P.BOILERPLATE, "")))
 
 
 def strip_class_and_id(html: Column) -> Column:

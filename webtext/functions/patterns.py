@@ -48,16 +48,20 @@ QUERY = r"\A[^?#]*\?([^#]*)"
 ORIGIN = r"\A([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
 
 # --- Links in a page ------------------------------------------------------
-# Attribute value in any of the three HTML quoting styles; group 1 keeps the
-# quotes, QUOTES removes them.
-ATTR_VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
-QUOTES = r"""\A["']|["']\z"""
-# Start tags; quoted values may hold angle brackets.
-START_TAG = r"""(?is)<[a-z](?:[^<>"']++|"[^"]*+"|'[^']*+')*+>"""
-ANCHOR_HREF = r"(?is)\A<a\s(?:[^>]*?\s)?href\s*=\s*" + ATTR_VALUE
-ANY_HREF = r"(?is)\A<[a-z][^>]*?\shref\s*=\s*" + ATTR_VALUE
-ONCLICK = r"(?is)\sonclick\s*=\s*" + ATTR_VALUE
-DATA_URL = r"""(?is)\sdata-[a-z0-9_.-]+\s*=\s*("http[^"]*"|'http[^']*'|http[^\s"'>]+)"""
+# Start tags. A quote opens a value only after "=", and such a value may hold angle
+# brackets; any other quote is an ordinary character.
+START_TAG = r"""(?is)<[a-z](?:[^<>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+>"""
+# Tags worth walking.
+LINK_ATTRIBUTE = r"(?i)href|onclick|data-"
+TAG_NAME = r"(?i)\A<([a-z][^\s/>]*+)"
+# Walks a start tag from where the last match ended: one attribute a match (group 1), its
+# name and, after "=", its value in any of the three quoting styles.
+ATTRIBUTE = (
+    r"""(?is)(?:\A<[a-z][^\s/>]*+|(?!\A)\G)[\s/]*+([^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+)"""
+)
+ATTRIBUTE_NAME = r"\A([^\s/>=]+)"
+ATTRIBUTE_VALUE = r"""(?s)\A[^\s/>=]+\s*=\s*(.*)\z"""
+QUOTED = r"""(?s)\A"(.*)"\z|\A'(.*)'\z"""
 # Parts of a page that a browser does not expose as elements; without their end they
 # take the rest of the page.
 OPAQUE = (
@@ -86,6 +90,19 @@ def _boilerplate() -> str:
 # The leading "<" stays outside the alternation so that other characters are
 # skipped at once. An element that is never closed takes the rest of the page.
 BOILERPLATE = _boilerplate()
+# Tags of removed elements, for pages that nest an element in one of its name: scripts and
+# styles whole, since they hold no tags, and single start and closing tags of the others.
+RAW_TAGS = ("script", "style")
+BOILERPLATE_TOKEN = (
+    r"(?is)<(?:"
+    + "|".join(rf"{t}(?:\s[^>]*+)?+(?:>|\z).*?(?:</{t}\s*+>|\z)" for t in RAW_TAGS)
+    + rf"|/?+(?:{'|'.join(t for t in BOILERPLATE_TAGS if t not in RAW_TAGS)})(?:\s[^>]*+|/)?+(?:>|\z))"
+)
+# A start tag that another of its name follows before any closing tag of that name.
+NESTED_BOILERPLATE = (
+    rf"(?is)<({'|'.join(t for t in BOILERPLATE_TAGS if t not in (*RAW_TAGS, *VOID_TAGS))})(?:\s[^<>]*+)?+(?<!/)>"
+    r"(?:[^<]++|<(?!/?\1[\s/>]))*+<\1[\s/>]"
+)
 # Walks a start tag: its name (group 1), then attribute by attribute from where the last
 # match ended; kept attributes are group 2.
 CLASS_OR_ID = (

@@ -17,24 +17,43 @@ from webtext.operators.ordering import union_all
 from webtext.sources.shared import spread
 
 
-def _attribute_values(tags: Column, pattern: str) -> Column:
-    found = F.flatten(F.transform(tags, lambda t: F.regexp_extract_all(t, F.lit(pattern), F.lit(1))))
-    return F.transform(found, lambda v: decode_entities(F.regexp_replace(v, P.QUOTES, "")))
-
-
 def visible_html(html: Column) -> Column:
     """The page without scripts, styles, no-script parts and comments."""
     return F.regexp_replace(html, P.OPAQUE, "")
 
 
+def attributes(tag: Column) -> Column:
+    """``name, value`` of each attribute of a start tag in order: names in lower case,
+    values without quotes and with entities decoded, null where there is none."""
+    found = F.regexp_extract_all(tag, F.lit(P.ATTRIBUTE), F.lit(1))
+
+    def parts(a: Column) -> Column:
+        raw = F.regexp_replace(F.regexp_extract(a, P.ATTRIBUTE_VALUE, 1), P.QUOTED, "$1$2")
+        return F.struct(
+            F.lower(F.regexp_extract(a, P.ATTRIBUTE_NAME, 1)).alias("name"), F.when(F.contains(a, F.lit("=")), decode_entities(raw)).alias("value")
+        )
+
+    return F.transform(found, parts)
+
+
 def start_tags(html: Column) -> Column:
-    """The start tags of a page in their order. Attributes are read from these alone, so
-    text that shows markup gives no links."""
-    return F.regexp_extract_all(visible_html(html), F.lit(P.START_TAG), F.lit(0))
+    """``name, attributes`` of the page's start tags that can hold a link, in order. Links
+    are read from these alone, so text that shows markup gives none."""
+    tags = F.regexp_extract_all(visible_html(html), F.lit(P.START_TAG), F.lit(0))
+    tags = F.filter(tags, lambda t: t.rlike(P.LINK_ATTRIBUTE))
+    return F.transform(
+        tags, lambda t: F.struct(F.lower(F.regexp_extract(t, P.TAG_NAME, 1)).alias("name"), attributes(t).alias("attributes"))
+    )
+
+
+def _first_values(tags: Column, attribute: str) -> Column:
+    """Value of the first attribute of that name of each tag that gives it one."""
+    own = lambda t: F.filter(t["attributes"], lambda a: a["name"] == attribute)
+    return F.filter(F.transform(tags, lambda t: F.get(own(t), F.lit(0))["value"]), lambda v: v.isNotNull())
 
 
 def anchor_hrefs(tags: Column) -> Column:
-    return _attribute_values(tags, P.ANCHOR_HREF)
+    return _first_values(F.filter(tags, lambda t: t["name"] == "a"), "href")
 
 
 def anchor_links(base: Column, tags: Column) -> Column:
@@ -45,13 +64,13 @@ def anchor_links(base: Column, tags: Column) -> Column:
 
 def href_links(base: Column, tags: Column) -> Column:
     """Targets of every element with an ``href``; a bare ``#x`` gives the page."""
-    links = F.transform(_attribute_values(tags, P.ANY_HREF), lambda h: U.resolve(base, h))
+    links = F.transform(_first_values(tags, "href"), lambda h: U.resolve(base, h))
     return F.filter(links, lambda x: ~x.rlike(r"(?i)\A(?:javascript|mailto|tel):"))
 
 
 def onclick_links(tags: Column) -> Column:
     """Targets that click handlers assign to the location, as written."""
-    handlers = _attribute_values(tags, P.ONCLICK)
+    handlers = _first_values(tags, "onclick")
     return F.flatten(
         F.transform(handlers, lambda h: F.regexp_extract_all(h, F.lit(P.ONCLICK_TARGET), F.lit(1)))
     )
@@ -59,7 +78,8 @@ def onclick_links(tags: Column) -> Column:
 
 def data_links(tags: Column) -> Column:
     """``data-*`` values that start with ``http``."""
-    return _attribute_values(tags, P.DATA_URL)
+    values = F.filter(F.flatten(F.transform(tags, lambda t: t["attributes"])), lambda a: a["name"].startswith("data-") & a["value"].startswith("http"))
+    return F.transform(values, lambda a: a["value"])
 
 
 def all_links(base: Column, tags: Column) -> Column:
