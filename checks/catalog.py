@@ -19,7 +19,7 @@ from webtext.operators.summary import summarize
 from webtext.plans import stages
 from webtext.sources import readers, writers
 from webtext.sources.shared import compute_once, spread, work_dir
-from webtext.streaming import jobs
+from webtext.streaming import clocks, jobs
 from webtext.streaming.batches import read_all, stream_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -887,6 +887,20 @@ def stream_politeness(spark, d):
     return read_all(spark, f"{root}/waits", jobs.WAITS)
 
 
+@register("stream_politeness_state", SQL_WAITS)
+def stream_politeness_state(spark, d):
+    """Four files of consecutive times, one a micro-batch; clocks are keyed state."""
+    root = work_dir(spark, "clocks")
+    requests = I.requests(spark, d)
+    first, last = requests.agg(F.min("ts_us"), F.max("ts_us")).first()
+    for quarter in range(4):
+        part = F.expr(f"(ts_us - {first}L) * 4 div ({last}L - {first}L + 1)") == quarter
+        requests.where(part).coalesce(1).write.mode("append").parquet(f"{root}/requests")
+    stream = stream_table(spark, f"{root}/requests", requests.schema, files_per_trigger=1)
+    clocks.pace_with_clocks(stream, DELAY, f"{root}/waits", f"{root}/checkpoint").awaitTermination()
+    return read_all(spark, f"{root}/waits", jobs.WAITS)
+
+
 @register("stream_clean", SQL_DOCUMENTS)
 def stream_clean(spark, d):
     root = work_dir(spark, "clean")
