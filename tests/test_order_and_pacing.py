@@ -156,7 +156,7 @@ def test_recent_pages_of_a_large_k_are_the_same_rows(spark, monkeypatch):
     expected = [r.id for r in ordering.recent_pages(listed, *bounds, 100).collect()]
     monkeypatch.setattr(ordering, "TOP_K_ROWS", 10)
     newest = ordering.recent_pages(listed, *bounds, 100)
-    assert sorted(r.id for r in newest.collect()) == sorted(expected)
+    assert [r.id for r in newest.collect()] == expected
     assert expected[:4] == [897, 898, 899, 894]
 
 

@@ -221,3 +221,14 @@ def test_work_folders_are_listed_and_removed(spark):
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         spark.read.parquet(made[0])
     assert outside.count() == 2
+
+
+def test_files_of_one_stem_stay_apart(spark, tmp_path, new_dir):
+    for name in ("a.md", "a.txt", "b c.md"):
+        (tmp_path / name).write_text(f"Words of {name}.")
+    out = new_dir()
+    rows = stages.run_directory(spark, str(tmp_path), out, stages.summaries, "*.*").collect()
+    assert sorted(r.output for r in rows) == ["a.md_summary.txt", "a.txt_summary.txt", "b c_summary.txt"]
+    assert sorted(tuple(r) for r in spark.read.parquet(out).collect()) == [
+        ("a.md_summary.txt", "Words of a.md."), ("a.txt_summary.txt", "Words of a.txt."), ("b c_summary.txt", "Words of b c.md."),
+    ]

@@ -78,7 +78,7 @@ def recent_pages(metadata: DataFrame, start, end, k: int) -> DataFrame:
     """Newest ``k`` pages with ``start <= created_at < end``.
 
     A top-k plan for small ``k``: every task keeps its own ``k`` rows; a large
-    ``k`` is cut by position (see ``first_rows``), and its rows come unsorted. Ids
+    ``k`` is cut by position (see ``first_rows``) and its rows are sorted by ranges. Ids
     must be unique among rows of one time. On a table written by
     ``append_metadata`` the date bounds also prune partitions.
     """
@@ -88,7 +88,9 @@ def recent_pages(metadata: DataFrame, start, end, k: int) -> DataFrame:
         in_range &= (F.col("created_date") >= F.to_date(bounds[0])) & (
             F.col("created_date") <= F.to_date(bounds[1])
         )
-    return first_rows(metadata.where(in_range), k, F.col("created_at").desc(), F.col("id"))
+    order = (F.col("created_at").desc(), F.col("id"))
+    newest = first_rows(metadata.where(in_range), k, *order)
+    return newest if k <= TOP_K_ROWS else newest.orderBy(*order)
 
 
 def in_blocks(df: DataFrame, keys: list[str], position: str, block: int, hot_rows: int) -> DataFrame:

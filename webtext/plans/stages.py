@@ -184,15 +184,22 @@ def run_directory(
     """Run a stage over the text files of a folder and write what succeeded.
 
     Returns ``input, output, error, success`` per file; ``outcome_rollup``
-    counts them. The stage is run once: its rows are written before they are
-    split into texts and outcomes.
+    counts them. A file is known to the stage by its path, so two files of one stem stay
+    apart; only such files keep their last suffix in the name of their output. The
+    stage is run once: its rows are written before they are split into texts and outcomes.
     """
     files = readers.read_corpus(spark, input_dir, pattern)
-    done = materialize(stage(files.select("document_id", "text")), "directory")
-    writers.write_derived(done.where("success"), output_dir)
-    return done.join(files.select("document_id", F.col("path").alias("input")), "document_id").select(
-        "input", F.when(F.col("success"), F.col("name")).alias("output"), "error", "success"
-    )
+    done = stage(files.select(F.col("path").alias("document_id"), "text"))
+    added = F.substr("name", F.length("document_id") + 1)
+    file = F.regexp_extract("document_id", r"([^/]*)\z", 1)
+    done = done.withColumn("document_id", F.struct(F.col("document_id").alias("path"), file.alias("file"))).withColumn("name", added)
+    done = materialize(done.select("document_id.*", "name", "text", "error", "success"), "directory")
+    stem = F.regexp_replace("file", r"\.[^.]*\z", "")
+    shared_stems = done.groupBy(stem.alias("stem")).agg(F.count("*").alias("files")).where("files > 1")
+    named = done.withColumn("stem", stem).join(shared_stems, "stem", "left")
+    named = named.withColumn("name", F.concat(F.when(F.col("files").isNull(), F.col("stem")).otherwise(F.col("file")), "name"))
+    writers.write_derived(named.where("success"), output_dir)
+    return named.select(F.col("path").alias("input"), F.when(F.col("success"), F.col("name")).alias("output"), "error", "success")
 
 
 @dataclass
