@@ -6,6 +6,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
+import pytest
 
 from webtext.llm.ann import nearest
 from webtext.llm.byte_bpe import Vocabulary
@@ -95,3 +96,9 @@ def test_odd_rows(odd, no_docs):
         want = sorted(((r["doc_id"], len(r["ids"]) // 4) for r in ids.collect()), key=str)
         got = token_counts(flatten(ids, "ids", 50256, block), 50256, "<u2", block, label="closed").collect()
         assert sorted(((r["label"], r["n_tokens"]) for r in got), key=str) == want
+
+
+def test_ids_beyond_two_bytes_are_refused(spark):
+    df = spark.createDataFrame([(1, (70_000).to_bytes(4, "little"))], "doc_id long, ids binary")
+    with pytest.raises(Exception, match="70000"):
+        flatten(df, "ids", 5).count()

@@ -83,7 +83,7 @@ def op6(spark, d):
     return with_next(table(spark, d, "documents"))
 
 
-@register("op7_set_join")
+@register("op7_set_join", SQL_TEXTS.OP7)
 def op7(spark, d):
     from webtext.llm.set_join import jaccard_components
 
@@ -105,7 +105,7 @@ def op9(spark, d):
     scored = train(docs, table(spark, d, "labels")).score(docs)
     return scored.select(
         "doc_id",
-        (fold("doc_id") == 0).alias("held_out"),
+        F.coalesce(fold("doc_id") == 0, F.lit(False)).alias("held_out"),
         F.col("toxicity").alias("score"),
         (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
     )

@@ -53,6 +53,8 @@ def flatten(docs: DataFrame, ids: str, eod: int, block: int = BLOCK) -> DataFram
         for part in parts:
             for doc_id, packed in zip(*[c.to_pylist() for c in part.columns]):
                 tokens = np.frombuffer(packed or b"", "<u4")
+                if len(tokens) and tokens.max() > 0xFFFF:
+                    raise ValueError(f"id {tokens.max()} does not fit the 2 bytes of a flat stream")
                 held = np.concatenate([held, tokens.astype("<u2"), np.array([eod], "<u2")])
                 end = len(held) - 1
                 while len(held) >= block:

@@ -97,3 +97,28 @@ FROM embeddings e
 JOIN (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id) c USING (vec_id)
 LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) n USING (vec_id)
 """
+
+
+_ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP7 = f"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all({_ASCII_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), sets AS (
+    SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS s
+    FROM words
+), items AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS sh FROM sets
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.sh = b.sh AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, c.component_id, coalesce(n.n, 0)::BIGINT AS n_links
+FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, count(*) AS n FROM links GROUP BY a) n USING (doc_id)
+"""
