@@ -189,15 +189,14 @@ def run_directory(
     stage is run once: its rows are written before they are split into texts and outcomes.
     """
     files = readers.read_corpus(spark, input_dir, pattern)
-    done = stage(files.select(F.col("path").alias("document_id"), "text"))
-    added = F.substr("name", F.length("document_id") + 1)
-    file = F.regexp_extract("document_id", r"([^/]*)\z", 1)
-    done = done.withColumn("document_id", F.struct(F.col("document_id").alias("path"), file.alias("file"))).withColumn("name", added)
-    done = materialize(done.select("document_id.*", "name", "text", "error", "success"), "directory")
-    stem = F.regexp_replace("file", r"\.[^.]*\z", "")
-    shared_stems = done.groupBy(stem.alias("stem")).agg(F.count("*").alias("files")).where("files > 1")
-    named = done.withColumn("stem", stem).join(shared_stems, "stem", "left")
-    named = named.withColumn("name", F.concat(F.when(F.col("files").isNull(), F.col("stem")).otherwise(F.col("file")), "name"))
+    # Paths hold no line break: odd characters are escaped there, but not in the stem.
+    done = stage(files.select(F.concat("path", F.lit("\n"), "document_id").alias("document_id"), "text"))
+    added = F.substr("name", F.length("document_id") + 1).alias("name")
+    path, stem = (F.regexp_extract("document_id", r"(?s)\A([^\n]*)\n(.*)\z", g) for g in (1, 2))
+    done = materialize(done.select(path.alias("path"), stem.alias("stem"), added, "text", "error", "success"), "directory")
+    shared_stems = done.groupBy("stem").agg(F.count("*").alias("files")).where("files > 1")
+    ending = F.when(F.col("files").isNull(), "").otherwise(F.regexp_extract("path", r"(\.[^./]*)\z", 1))
+    named = done.join(shared_stems, "stem", "left").withColumn("name", F.concat("stem", ending, "name"))
     writers.write_derived(named.where("success"), output_dir)
     return named.select(F.col("path").alias("input"), F.when(F.col("success"), F.col("name")).alias("output"), "error", "success")
 
