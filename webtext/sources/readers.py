@@ -49,9 +49,11 @@ def read_corpus(
 
     The id is the file name without its last suffix.
     """
+    # Spark gives names as parts of a URI: percent escapes, but a plus sign as it is.
+    name = F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B")))
     files = spark.read.text(path, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=recursive)
     return files.select(
-        F.regexp_replace("_metadata.file_name", r"\.[^.]*\z", "").alias("document_id"),
+        F.regexp_replace(name, r"\.[^.]*\z", "").alias("document_id"),
         F.col("_metadata.file_path").alias("path"),
         F.col("value").alias("text"),
     )
