@@ -224,11 +224,11 @@ def test_work_folders_are_listed_and_removed(spark):
 
 
 def test_files_of_one_stem_stay_apart(spark, tmp_path, new_dir):
-    for name in ("a.md", "a.txt", "b c+é%.md"):
-        (tmp_path / name).write_text(f"Words of {name}.")
+    for i, name in enumerate(("a.md", "a.txt", "b c+é%.md")):
+        (tmp_path / name).write_text(f"Words of file {i}.")
     out = new_dir()
     rows = stages.run_directory(spark, str(tmp_path), out, stages.summaries, "*.*").collect()
     assert sorted(r.output for r in rows) == ["a.md_summary.txt", "a.txt_summary.txt", "b c+é%_summary.txt"]
     assert sorted(tuple(r) for r in spark.read.parquet(out).collect()) == [
-        ("a.md_summary.txt", "Words of a.md."), ("a.txt_summary.txt", "Words of a.txt."), ("b c+é%_summary.txt", "Words of b c+é%.md."),
+        ("a.md_summary.txt", "Words of file 0."), ("a.txt_summary.txt", "Words of file 1."), ("b c+é%_summary.txt", "Words of file 2."),
     ]
