@@ -97,6 +97,15 @@ def plan(
     ).select("doc_id", "source", "_h", "size", "source_size", "target", "_t.takes", "_t.taken")
 
 
+def in_order(planned: DataFrame) -> DataFrame:
+    """Rows of ``plan`` range-sorted by ``position``, the place (0 to 1) of a document's first
+    epoch, with ``positions`` of all its epochs. Documents in no epoch have null and none and
+    come last; ties go by id (null first), then hash."""
+    placed = planned.withColumn("positions", F.col("takes.position")).withColumn("position", F.get("positions", F.lit(0)))
+    order = (F.col("position").asc_nulls_last(), F.col("doc_id"), F.col("_h"))
+    return placed.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def mixed(docs: DataFrame, weights: list[float], seed: int = 0, **options) -> DataFrame:
     """``docs`` in training order: each document once per epoch that takes it, whole.
 

@@ -71,9 +71,10 @@ MIX_WEIGHTS = [5.0, 2.0, 1.0]
 
 @register("op2_mixing")
 def op2(spark, d):
-    from webtext.llm.mixing import plan
+    from webtext.llm.mixing import in_order, plan
 
-    return plan(table(spark, d, "documents"), MIX_WEIGHTS).select("doc_id", "size", "source_size", "target", "taken")
+    rows = in_order(plan(table(spark, d, "documents"), MIX_WEIGHTS))
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "position", "positions")
 
 
 @register("op6_fingerprints")
