@@ -524,6 +524,14 @@ def scrape_rows(spark, d):
     return scrape_results(spark, d)[1]
 
 
+@register(
+    "scrape_documents",
+    f"SELECT d.* FROM ({SQL_DOCUMENTS}) d JOIN pages p USING (url) WHERE p.page_id % 11 <> 0",
+)
+def scrape_documents(spark, d):
+    return scrape_results(spark, d)[0]
+
+
 SQL_ROBOTS = f"""SELECT t.origin AS url, CASE WHEN ok THEN 'successful' ELSE 'failed' END AS outcome,
     CASE WHEN ok THEN t.file END AS file, CASE WHEN NOT ok THEN 'Failed to fetch or save' END AS reason
     FROM ({SQL_TARGETS}) t JOIN (SELECT robots_url, status = 200 AND body <> '' AS ok FROM ({I.ROBOTS_LOG}))

@@ -1,4 +1,5 @@
-"""The stages of a run, each a lazily composed plan over a page snapshot."""
+"""The stages of a run over a page snapshot. ``crawl_site``, ``pipeline`` and ``run_directory``
+run jobs and write tables; the others compose plans."""
 
 from __future__ import annotations
 
@@ -16,23 +17,24 @@ from webtext.operators import chunks, links, outcomes
 from webtext.operators.crawl import bounded_crawl
 from webtext.operators.glossary import translate_with_table
 from webtext.operators.inference import batch_inference
+from webtext.operators.membership import BLOCKS, key_filter, probably_in
 from webtext.operators.ordering import number_rows
 from webtext.operators.summary import summarize
 from webtext.sources import readers, writers
 from webtext.sources.shared import compute_once, materialize, spread
 
 
-def documents(pages: DataFrame, paragraph_breaks: bool = False) -> DataFrame:
-    """``document_id, url, title, content, n_words`` of every page.
+def documents(pages: DataFrame, paragraph_breaks: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``document_id, url, title, content, n_words`` of every page, and the columns of ``keep``.
 
     A narrow projection over the scan: the pages are never shuffled.
     """
     html, url = F.col("html"), F.col("url")
     cleaned = compute_once(
-        spread(pages.select("url", "html")), content=H.html_to_markdown(html, paragraph_breaks)
+        spread(pages.select("url", "html", *keep)), content=H.html_to_markdown(html, paragraph_breaks)
     )
     titled = cleaned.select(
-        I.document_id(url).alias("document_id"), "url", I.full_title(url, html).alias("title"), "content"
+        *keep, I.document_id(url).alias("document_id"), "url", I.full_title(url, html).alias("title"), "content"
     )
     return compute_once(titled, n_words=T.word_count(F.col("content")))
 
@@ -97,13 +99,15 @@ def crawl_site(
 
 
 def scrape(
-    worklist: DataFrame, pages: DataFrame, failed: DataFrame | None = None
+    worklist: DataFrame, pages: DataFrame, failed: DataFrame | None = None, filter_blocks: int = BLOCKS
 ) -> tuple[DataFrame, DataFrame]:
     """Documents of the listed URLs, and ``url, error, success`` per URL.
 
     A URL without a page, without a host, or in ``failed``, failed. Of several
     copies of a page the first is taken. The copies are chosen and the outcomes
-    compared by URL and page id alone; the page table itself is only filtered.
+    compared by URL and page id alone. The page scan is cut by a filter of the
+    chosen copies (``filter_blocks`` times 4 KB, broadcast) and cleaned in its own
+    stage; an exact join of the texts follows, so HTML is never shuffled.
     """
     wanted = worklist.select("url").distinct()
     usable = wanted.where(U.domain(F.col("url")).isNotNull())
@@ -111,7 +115,9 @@ def scrape(
     if failed is not None:
         copies = copies.join(failed.select("url").distinct(), "url", "left_anti")
     chosen = copies.join(usable, "url", "left_semi")
-    docs = documents(pages.join(chosen, ["url", "page_id"], "left_semi"))
+    key = ["url", "page_id"]
+    loaded = probably_in(spread(pages.select(*key, "html")), key, key_filter(chosen, key, filter_blocks), filter_blocks)
+    docs = documents(loaded, keep=("page_id",)).join(chosen, key, "left_semi").drop("page_id")
     held = copies.select("url", F.lit(True).alias("_held"))
     error = F.when(U.domain(F.col("url")).isNull(), "malformed url").when(
         F.col("_held").isNull(), "page not loaded"
