@@ -7,7 +7,7 @@ of a micro-batch are combined on the map side, or split by time, first.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,6 +17,7 @@ from webtext.operators.pacing import politeness_wait
 from webtext.plans.stages import documents, page_metadata
 from webtext.sources.shared import absent_from, materialize
 from webtext.streaming.batches import read_batch, read_before, write_batch
+from webtext.streaming.seen import SeenKeys
 
 URLS = "url string"
 LAST_REQUEST = "domain string, last_us bigint"
@@ -30,19 +31,31 @@ def _start(stream: DataFrame, on_batch, checkpoint: str, trigger: dict) -> Strea
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def seen_links(spark: SparkSession, out: str, batch_id: int) -> SeenKeys:
+    """Links of the batches before; those of an ``out`` that has no such table yet are put in."""
+    seen = SeenKeys(spark, f"{out}-seen", "url", batch_id)
+    if batch_id and seen.known() is None:
+        SeenKeys(spark, f"{out}-seen", "url", batch_id - 1).add(read_before(spark, out, URLS, batch_id))
+    return seen
+
+
 def discover_links(
     pages: DataFrame, site: Column | str, out: str, checkpoint: str, known: DataFrame | None = None,
     **trigger,
 ) -> StreamingQuery:
-    """Write each internal link of the arriving pages once, across restarts."""
+    """Write each internal link of the arriving pages once, across restarts. Links already
+    written are remembered in ``{out}-seen``."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        seen = seen_links(spark, out, batch_id)
         found = page_links(batch, site).select(F.col("link").alias("url")).distinct().persist()
-        fresh = absent_from(found, read_before(batch.sparkSession, out, URLS, batch_id), "url")
+        fresh = seen.unseen(found)
         if known is not None:
             fresh = absent_from(fresh, known, "url")
         write_batch(fresh, out, batch_id)
         found.unpersist()
+        seen.add(read_batch(spark, out, URLS, batch_id))
 
     return _start(pages, on_batch, checkpoint, trigger)
 
