@@ -20,6 +20,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path that is there is a folder."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop_path).isDirectory()
+
+
 def manifest_worklist(spark: SparkSession, path: str) -> DataFrame:
     """``pos, url`` in manifest order, repeats kept.
 

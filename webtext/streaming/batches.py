@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamReader
 
-from webtext.sources.readers import exists
+from webtext.sources.readers import exists, is_folder
 
 
 def write_batch(df: DataFrame, root: str, batch_id: int) -> None:
@@ -48,3 +48,11 @@ def stream_table(
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(folder)
+
+
+def stream_of_table(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Stream of a table that is one file or a folder of files, as batch readers take either."""
+    if is_folder(spark, path):
+        return spark.readStream.schema(schema).parquet(path)
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    return stream_table(spark, folder, schema, name)
