@@ -35,6 +35,8 @@ from webtext.sources.shared import materialize
 # Classes in a group, and queries that meet a group in one task.
 GROUP = 64
 QUERIES_AT_ONCE = 512
+# A band of this many groups, at least one in so many from its first group to its last, is a run.
+RUN, SPARSE = 8, 2
 MISS = 1e-9
 SEED = 20
 
@@ -187,6 +189,36 @@ def matches(percent: int):
     return run
 
 
+def dense_blocks(routed: DataFrame) -> DataFrame:
+    """``g, block`` of each group of ``routed`` (``sig, g``, distinct). Where a band's groups lie
+    close together, all of them from the first to the last are a run; a group's block is the
+    longest run it lies in, or the group alone. So any two groups of a block lie in one run."""
+    runs = routed.groupBy("sig").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count("*").alias("k"))
+    runs = runs.where(f"k >= {RUN} and hi - lo < {SPARSE} * k").groupBy("lo").agg(F.max("hi").alias("hi"))
+    longest = F.max(F.struct((F.col("hi") - F.col("lo")).alias("size"), "lo")).alias("run")
+    inside = runs.select("lo", "hi", F.explode(F.sequence("lo", "hi")).alias("g")).groupBy("g").agg(longest)
+    return routed.select("g").distinct().join(inside, "g", "left").select("g", F.coalesce("run.lo", -1 - F.col("g")).alias("block"))
+
+
+def group_pairs(routed: DataFrame) -> DataFrame:
+    """``home, g`` of any two groups that share a band (``home <= g``), each with itself as well.
+
+    The groups of a large cluster share very many bands. They are one block, whose pairs are
+    named once and not for every band; bands are compared between blocks only. In a block
+    some pairs may be named that share no band: their members are compared, which costs time
+    but changes no result.
+    """
+    blocks = materialize(dense_blocks(routed), "blocks")
+    within = blocks.withColumnRenamed("g", "home").join(blocks, "block").where("g >= home").select("home", "g")
+    placed = routed.join(blocks, "g")
+    # Bands of a single block have nothing left to name.
+    apart = placed.groupBy("sig").agg(F.min("block").alias("a"), F.max("block").alias("b")).where("a < b").select("sig")
+    placed = materialize(placed.join(apart, "sig", "left_semi"), "apart")
+    homes = placed.select("sig", F.col("g").alias("home"), F.col("block").alias("home_block"))
+    across = homes.join(placed, "sig").where("g > home and block <> home_block").select("home", "g").distinct()
+    return within.unionByName(across)
+
+
 def jaccard_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """``doc_id, n_shingles, component_id, n_links`` of each row of ``docs`` (see ``named_rows``)."""
     return named_rows(docs, width, percent).select("doc_id", "n_shingles", "component_id", "n_links")
@@ -232,7 +264,7 @@ def named_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
     tokens = materialize(tokens.dropDuplicates(["cid"]), "tokens")
 
     routed = materialize(members.join(placed, "cid").select("sig", "g").distinct(), "routed")
-    near = routed.withColumnRenamed("g", "home").join(routed, "sig").where("g >= home").select("home", "g").distinct()
+    near = group_pairs(routed)
     pairs = materialize(near.join(placed.withColumnRenamed("g", "home"), "home").select("cid", "home", "g"), "pairs")
     blocks = pairs.groupBy("g").agg(F.expr(f"(count(*) + {QUERIES_AT_ONCE - 1}) div {QUERIES_AT_ONCE}").alias("blocks"))
     members_of = tokens.join(blocks, "g").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks")
