@@ -3,7 +3,7 @@
 Vectors are scaled to length 1 and projected on random lines. In each block of vectors
 every line has its own sorted array of projections. A query opens a window around its
 own projection on each line; while it widens (virtual rehashing: the window of a larger
-radius contains that of a smaller one, so only the new ends are read), vectors collect
+radius contains that of a smaller one, so only new ends are read while they are short), vectors collect
 collisions, and one that collides on enough lines is verified by its true cosine. A
 query stops when its k-th verified distance is within the radius, or at the distance
 that a bounded sample shows to be enough.
@@ -29,6 +29,8 @@ SLACK = 3.0
 # Share of a vector's lines that collide at the radius: P(|N(0, 1)| <= WIDTH / 2).
 HIT = 0.826
 STEPS = (0.35, 0.5, 0.7, 0.85, 1.0)
+# New ends are read while they hold less than this part of a block's places.
+READ = 16
 # Vectors in a block, queries that meet a block in one task, vectors that bound the radius.
 BLOCK = 8192
 QUERIES_AT_ONCE = 1024
@@ -60,14 +62,13 @@ def per_id(ids: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.maximum.reduceat(values[order], firsts)
 
 
-def best(ids: np.ndarray, x: np.ndarray, rough: np.ndarray, q: np.ndarray, k: int, repeated: bool) -> tuple[np.ndarray, np.ndarray]:
-    """The k nearest ids by their nearest row, ties to the smaller id: exact for all that
-    could be among them. ``repeated`` tells whether rows may share an id."""
-    tops = per_id(ids, rough) if repeated else rough
+def best(ids: np.ndarray, x: np.ndarray, rough: np.ndarray, q: np.ndarray, k: int, repeated: bool, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The k nearest ids of ``rows`` by their nearest row, ties to the smaller id: exact for all
+    that could be among them. ``repeated`` tells whether rows may share an id."""
+    tops = per_id(ids[rows], rough[rows]) if repeated else rough[rows]
     if len(tops) > k:
-        keep = rough >= np.partition(tops, -k)[-k] - 1e-9
-        ids, x = ids[keep], x[keep]
-    score = cosines(x, q)
+        rows = rows[rough[rows] >= np.partition(tops, -k)[-k] - 1e-9]
+    ids, score = ids[rows], cosines(x[rows], q)
     order = np.lexsort((ids, -score))
     if repeated:
         order = order[np.sort(np.unique(ids[order], return_index=True)[1])]
@@ -89,43 +90,75 @@ def search_block(k: int):
             n, a = len(u), lines(x.shape[1])
             projected = u @ a
             order = np.argsort(projected, axis=0, kind="stable").T.copy()
-            arrays = np.sort(projected, axis=0).T.copy()
-            for query_id, vector, radius in zip(queries.query_id, queries.vector, queries.radius):
-                q = np.asarray(vector, np.float64)
-                uq = unit(q[None])[0]
-                if np.isfinite(radius):
-                    seen = candidates(arrays, order, uq @ a, uq, u, radius, least, k, ids if repeated else None)
+            block = Arrays(np.sort(projected, axis=0).T.copy(), order)
+            q = np.array(queries.vector.tolist(), np.float64)
+            uq, radius = unit(q), queries.radius.to_numpy()
+            left, right = block.windows(uq @ a, np.where(np.isfinite(radius), radius, 0.0))
+            for i, query_id in enumerate(queries.query_id):
+                rough = u @ uq[i]
+                if np.isfinite(radius[i]):
+                    seen = collected(block, left[:, i], right[:, i], rough, radius[i], least, k, ids if repeated else None)
                 else:
                     seen = np.arange(n)
                 seen = seen[ids[seen] != query_id]
                 if len(seen):
-                    found, score = best(ids[seen], x[seen], u[seen] @ uq, q, k, repeated)
-                    out.extend((query_id, i, s) for i, s in zip(found.tolist(), score.tolist()))
+                    found, score = best(ids, x, rough, q[i], k, repeated, seen)
+                    out.extend((query_id, j, s) for j, s in zip(found.tolist(), score.tolist()))
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
     return run
 
 
+class Arrays:
+    """Sorted array of each line, with the vector at each place and the place of each vector."""
+
+    def __init__(self, values: np.ndarray, order: np.ndarray):
+        self.values, self.order, self.n = values, order, values.shape[1]
+        self.places = np.empty(order.shape, np.uint16 if self.n < 1 << 16 else np.uint32)
+        np.put_along_axis(self.places, order, np.arange(self.n, dtype=self.places.dtype)[None], axis=1)
+
+    def windows(self, center: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First place and end of every window (step, query, line)."""
+        half = WIDTH / 2 * radius * np.array(STEPS)[:, None]
+        left, right = np.empty((2, *half.shape, LINES), np.int64)
+        for i, values in enumerate(self.values):
+            left[:, :, i] = np.searchsorted(values, center[:, i] - half, "left")
+            right[:, :, i] = np.searchsorted(values, center[:, i] + half, "right")
+        return left, right
+
+    def collisions(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Lines on which each vector is in the window, by its places."""
+        kind = self.places.dtype
+        inside = self.places - left.astype(kind)[:, None] < (right - left).astype(kind)[:, None]
+        return np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8).astype(np.int64)
+
+
 def candidates(arrays, order, center, uq, u, radius, least, k, ids=None) -> np.ndarray:
+    """``collected`` for one query, by its projections ``center``."""
+    block = Arrays(arrays, order)
+    left, right = block.windows(center[None], np.array([radius]))
+    return collected(block, left[:, 0], right[:, 0], u @ uq, radius, least, k, ids)
+
+
+def collected(block: Arrays, left, right, rough, radius, least, k, ids=None) -> np.ndarray:
     """Verified vectors: those with ``least`` collisions by the radius at which the query stops.
-    With ``ids``, rows of an id count once for the stop, by the nearest."""
-    n = arrays.shape[1]
-    counts = np.zeros(n, np.int64)
-    lo = [int(np.searchsorted(arrays[i], center[i])) for i in range(LINES)]
-    hi = list(lo)
-    for step in STEPS:
-        half = WIDTH / 2 * radius * step
-        fresh = []
-        for i in range(LINES):
-            left = int(np.searchsorted(arrays[i], center[i] - half, "left"))
-            right = int(np.searchsorted(arrays[i], center[i] + half, "right"))
-            fresh += [order[i, left : lo[i]], order[i, hi[i] : right]]
-            lo[i], hi[i] = left, right
-        counts += np.bincount(np.concatenate(fresh), minlength=n)
+    ``left`` and ``right`` are the query's windows (step, line). Short new ends of a window are
+    read from the arrays; where they hold much of the block, the places of all vectors are
+    compared. With ``ids``, rows of an id count once for the stop, by the nearest."""
+    counts = np.zeros(block.n, np.int64)
+    lo = hi = None
+    for step, l, r in zip(STEPS, left, right):
+        new = int((r - l).sum()) if lo is None else int((lo - l + r - hi).sum())
+        if new * READ > LINES * block.n:
+            counts = block.collisions(l, r)
+        elif new:
+            ends = zip(block.order, l, r, r, r) if lo is None else zip(block.order, l, lo, hi, r)
+            counts += np.bincount(np.concatenate([part for order, a, b, c, d in ends for part in (order[a:b], order[c:d])]), minlength=block.n)
+        lo, hi = l, r
         seen = np.flatnonzero(counts >= least)
         if len(seen) > k:
             # Enough verified vectors (the query itself may be one) within the radius so far.
-            tops = u[seen] @ uq
+            tops = rough[seen]
             if ids is not None:
                 tops = per_id(ids[seen], tops)
             if len(tops) > k and np.partition(2 - 2 * tops, k)[k] <= (radius * step) ** 2:
@@ -176,7 +209,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
                 other = ids != query_id
                 found, score = np.empty(0, np.int64), np.empty(0)
                 if other.any():
-                    found, score = best(ids[other], x[other], units[len(q)][other] @ unit(q[None])[0], q, k, repeated[len(q)])
+                    found, score = best(ids, x, units[len(q)] @ unit(q[None])[0], q, k, repeated[len(q)], np.flatnonzero(other))
                 radius = sqrt(max(0.0, 2 - 2 * score[-1])) + 1e-6 if len(found) == k else float("inf")
                 out.append((query_id, vector, radius, found, score))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
