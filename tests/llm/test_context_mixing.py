@@ -141,3 +141,37 @@ def test_word_order_counts(spark):
         mixed_up.append((2 * 10**9 + i, " ".join(rng.permutation(words))))
     got = {r.doc_id: r.score for r in score(spark.createDataFrame(rows + said + mixed_up, "doc_id long, text string")).collect()}
     assert all(got[a] > got[b] for (a, _), (b, _) in zip(said, mixed_up))
+
+
+def test_word_order_of_other_documents_counts(spark):
+    """A text without any repetition is likelier in the order that other documents have learned."""
+    rng = np.random.default_rng(6)
+    names = [f"w{i}" for i in range(400)]
+    lines = [[names[j] for j in rng.permutation(400)[:12]] for _ in range(20)]
+    rows = [(i, " ".join(lines[i % 20])) for i in range(400)]
+    held = [i for i in range(10**6, 10**6 + 400) if zlib.crc32(str(i).encode()) % 5 == 1][:40]
+    said = [(i, " ".join(lines[j])) for j, i in enumerate(held[:20])]
+    mixed_up = [(i, " ".join(rng.permutation(lines[j]))) for j, i in enumerate(held[20:])]
+    got = {r.doc_id: r for r in score(spark.createDataFrame(rows + said + mixed_up, "doc_id long, text string")).collect()}
+    for (a, _), (b, _) in zip(said, mixed_up):
+        assert got[a].held_out and got[b].held_out
+        assert math.isclose(got[a].base_score, got[b].base_score, rel_tol=1e-9)
+        assert got[a].score > got[b].score + 2
+
+
+def test_words_after_any_context_sum_to_one():
+    """Whatever the tables and weights hold, the leaves of the tree share out all probability."""
+    from webtext.llm.word_contexts import Coder, lines
+
+    rng = np.random.default_rng(4)
+    count = np.append(rng.integers(1, 90, 50), 0).astype(float)
+    mix = np.log10(np.append(count[:-1] / count.sum() * 0.9, 0.01))
+    coder = Coder([b"%03d" % i for i in range(51)], count, mix, 5000)
+    tables = [lines(rng.integers(0, 9, 8 << coder.bits)) for _ in range(2)]
+    coder.weights = rng.normal(0.4, 0.3, coder.weights.shape)
+    up = rng.uniform(0, 1, len(coder.refine) // 2)
+    coder.refine = np.concatenate([up, [0.5], 1 - up[::-1]])
+    every = np.array([[~3, ~7, w] for w in [*range(50), 1 << 29 | 5]])
+    got = coder.score(every.ravel(), np.arange(0, every.size, 3), tables).reshape(-1, 3)[:, 2]
+    got[-1] -= coder.other
+    assert math.isclose((10**got).sum(), 1, rel_tol=1e-4)

@@ -8,16 +8,19 @@ weights that a gate chooses (bit number and how well the whole beginning is know
 the result is refined by a table of what came true at that probability. The probability
 of a text is the product over its bits.
 
-The contexts of these six begin anew at each word, so a word's probability is computed
+The contexts of these six begin anew at each word, so a word's probability by them is computed
 once for all its occurrences. What all bits of a known word would say by its own counts
 alone is its relative frequency; the next step mixes that with the bit model's probability,
 by the weight under which the training words, each occurrence without itself, are likeliest.
 
+That mixture is one of three predictors of each occurrence: ``word_contexts`` codes it bit by
+bit in its text, with two more whose contexts are the previous word and the previous two.
+
 Two more predictors adapt while a text is read and look across words. The match predictor
 expects the word that followed the last earlier occurrence of the word before; whether it
 does follow is coded first, by odds that depend on how many words in a row it has foretold.
 If not, it is coded whether a rare word of this text comes again, and which one by its count
-so far; if not that either, the word is coded by the mixture above.
+so far; if not that either, the word is coded by those three.
 
 What is learned comes from all training texts: bit counts are weighted by how often a word
 occurs; weights and refinement are learned online in one pass, by gradient steps over batches
@@ -29,6 +32,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from copy import copy
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webtext.llm.common import words_of
+from webtext.llm.word_contexts import OTHER, Coder, flat, learned
 from webtext.sources.shared import materialize
 
 CONTEXTS = 6
@@ -165,13 +171,16 @@ class Mixer:
         """Log-odds of the six predictors and the gate (0 to 2, within the bit number)."""
         odds, gates = self.table(without)
         at = slots * 2 + bit
-        return odds[at + np.arange(CONTEXTS)[:, None] * (SLOTS * 2)], gates[at[-1]].astype(np.intp)
+        x = np.empty(at.shape, np.float32)
+        for i, own in enumerate(odds.reshape(CONTEXTS, -1)):
+            own.take(at[i], out=x[i], mode="clip")
+        return x, gates.take(at[-1]).astype(np.intp)
 
     def mix(self, x: np.ndarray, gate: np.ndarray, k: int) -> np.ndarray:
-        own = self.weights[k * 3 : k * 3 + 3].astype(np.float32)
-        odds = own[:, 0][gate] * x[0]
+        own = np.ascontiguousarray(self.weights[k * 3 : k * 3 + 3].T, np.float32)
+        odds = own[0].take(gate) * x[0]
         for i in range(1, CONTEXTS):
-            odds += own[:, i][gate] * x[i]
+            odds += own[i].take(gate) * x[i]
         return np.clip(odds, -13, 13)
 
     @staticmethod
@@ -191,22 +200,27 @@ class Mixer:
             p = 1 / (1 + np.exp(-odds))
             mine = np.where(gate == np.arange(3)[:, None], share, 0.0)
             mass = mine.sum(axis=1)[:, None] + 1e-9
-            slope = np.einsum("gn,in->gi", mine * (bit - p), x)
-            bend = np.einsum("gn,in->gi", mine * (p * (1 - p)), x * x)
+            x = x.T.astype(float)
+            slope = (mine * (bit - p)) @ x
+            bend = (mine * (p * (1 - p))) @ (x * x)
             self.weights[k * 3 : k * 3 + 3] += np.clip(step * slope / (bend + DAMP * mass), -0.1, 0.1)
 
     def score(self, words: list[bytes]) -> np.ndarray:
         """log10 probability of each word with the space that closes it, or of the end."""
         bits, out = Bits(words), np.zeros(len(words))
+        # By level, for bits 0 and 1: the refined probability of the bit that came is
+        # ``share`` times the mixed one and ``half``.
+        refine = np.stack([1 - self.refine, self.refine], axis=1).astype(np.float32)
+        share, half = np.where(np.isnan(refine), np.float32(1), np.float32(0.5)), np.nan_to_num(refine) / 2
         for k in range(8):
             slots, bit = bits.slots(k)
             x, gate = self.inputs(slots, bit, 0)
-            odds = self.mix(x, gate, k).astype(float)
-            p = 1 / (1 + np.exp(-odds))
-            refined = self.refine[self.level(odds), k]
-            p = np.clip(np.where(np.isnan(refined), p, (p + refined) / 2), FLOOR, 1 - FLOOR)
-            out += np.bincount(bits.word, np.log10(np.where(bit == 1, p, 1 - p)), len(words))
-        return out
+            odds = self.mix(x, gate, k)
+            at = self.level(odds) * 2 + bit
+            p = 1 / (1 + np.exp(np.where(bit == 1, -odds, odds)))
+            p = np.clip(share[:, :, k].ravel().take(at) * p + half[:, :, k].ravel().take(at), FLOOR, 1 - FLOOR)
+            out += np.bincount(bits.word, np.log(p), len(words))
+        return out / math.log(10)
 
 
 def in_batches(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray]]:
@@ -365,18 +379,21 @@ def score(docs: DataFrame) -> DataFrame:
     words = materialize(word_table(docs).sortWithinPartitions("word"), "counts")
     total, distinct = words.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     table = with_frequencies(scored_words(words, fit(words), total, distinct), total)
-    top = table.orderBy(F.desc("c"), "word").limit(COMMON).select("word", "known", "base", "mix").toArrow()
-    values = np.stack([top.column(c).to_numpy().astype(float) for c in ("known", "base", "mix")], axis=1) if top.num_rows else np.zeros((0, 3))
-    sent = docs.sparkSession.sparkContext.broadcast((top.column("word").to_pylist(), values))
+    top = table.orderBy(F.desc("c"), "word").limit(COMMON).select("word", "c", "known", "base", "mix").toArrow()
+    common = top.column("word").to_pylist()
+    c, known, base, mix = (top.column(c).to_numpy().astype(float) for c in ("c", "known", "base", "mix"))
+    spark = docs.sparkSession.sparkContext
+    sent = spark.broadcast((common, known, base))
     steps = len(MATCHED) + len(RARE) + 1
-    names_of = ["doc_id", "train", "n_tokens", "n_bytes", "known", "base", "mix", "came", "failed", "rare"]
+    names_of = ["doc_id", "train", "n_tokens", "n_bytes", "known", "base", "mix", "came", "failed", "rare", "words"]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = {w: i for i, w in enumerate(sent.value[0])}.get
-        known = sent.value[1]
+        _, known, base = sent.value
         for part in parts:
             tokens, sizes, rare, first = [], [], [], [0]
             ids: list[int] = []
+            hashes: list[int] = []
             for text in part.column("text").to_pylist():
                 own = [*words_of(text), END]
                 names: dict[bytes, int] = {}
@@ -384,6 +401,7 @@ def score(docs: DataFrame) -> DataFrame:
                     i = get(w)
                     ids.append(-1 - len(rare) - names.setdefault(w, len(names)) if i is None else i)
                 rare += names
+                hashes += map(crc32, names)
                 first.append(len(rare))
                 tokens.append(len(own))
                 sizes.append(len(b" ".join(own)))
@@ -396,16 +414,18 @@ def score(docs: DataFrame) -> DataFrame:
             yes = np.bincount(step, np.concatenate([hit[expected], back[asked]]), steps * n).astype(np.int32)
             no = np.bincount(step, minlength=steps * n).astype(np.int32) - yes
             static, common = ~(hit | back), ids >= 0
-            values = known[ids[common]]
-            sums = [np.bincount(text[common], v, n) for v in (values[:, 0], values[:, 1], values[:, 2] * static[common])]
+            sums = [np.bincount(text[common], v[ids[common]], n) for v in (known, base)]
+            words = ids.copy()
+            words[~common] = OTHER | np.array(hashes, np.int64)[-1 - ids[~common]] >> 3
+            words = pa.ListArray.from_arrays(np.cumsum([0, *tokens]).astype(np.int32), np.where(static, words, ~words).astype(np.int32))
             times = [np.bincount(-1 - ids[m], minlength=len(rare)) for m in (~common, ~common & static)]
             names = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), *map(pa.array, times)], ["word", "n", "m"])
             whole = pa.array(np.arange(n + 1, dtype=np.int32) * steps)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"), part.column("train"), pa.array(tokens, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sums[0].astype(np.int64)),
-                    pa.array(sums[1]), pa.array(sums[2] + np.bincount(text, share, n)), pa.ListArray.from_arrays(whole, yes), pa.ListArray.from_arrays(whole, no),
-                    pa.ListArray.from_arrays(pa.array(first, pa.int32()), names),
+                    pa.array(sums[1]), pa.array(np.bincount(text, share, n)), pa.ListArray.from_arrays(whole, yes), pa.ListArray.from_arrays(whole, no),
+                    pa.ListArray.from_arrays(pa.array(first, pa.int32()), names), words,
                 ],
                 names_of,
             )
@@ -413,7 +433,7 @@ def score(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), trains("doc_id").alias("train"), "text").mapInArrow(
         run,
         "doc_id long, train boolean, n_tokens long, n_bytes long, known long, base double, mix double, "
-        "came array<int>, failed array<int>, rare array<struct<word:binary,n:long,m:long>>",
+        "came array<int>, failed array<int>, rare array<struct<word:binary,n:long,m:long>>, words array<int>",
     )
     rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
     seen = rows.where("train").agg(*[F.coalesce(F.sum(F.col(c)[i]), F.lit(0)) for c in ("came", "failed") for i in range(steps)]).first()
@@ -423,7 +443,22 @@ def score(docs: DataFrame) -> DataFrame:
         adaptive = adaptive + F.col("came")[i] * math.log10(p) + F.col("failed")[i] * math.log10(1 - p)
     rare = rows.select("row", F.inline("rare")).join(table.select("word", F.col("known").alias("k"), F.col("base").alias("b"), F.col("mix").alias("x")), "word")
     sums = rare.groupBy("row").agg(*[F.sum(F.col(times) * F.col(c)).alias(c) for times, c in (("n", "k"), ("n", "b"), ("m", "x"))])
-    both = rows.withColumn("mix", F.col("mix") + adaptive).drop("rare", "came", "failed").join(sums, "row", "left")
+    coder = Coder(common, c, mix, int(total))
+    coding, tables = learned(rows.where("train"), coder)
+    weights, refine = coder.weights, coder.refine
+    kept = rows.select("row", "doc_id", "train", "n_tokens", "n_bytes", "known", "base", (F.col("mix") + adaptive).alias("mix"), "words")
+
+    def code(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = copy(coding.value)
+        own.weights, own.refine = weights, refine
+        for part in parts:
+            words, first = flat(part.column("words"))
+            sums = np.add.reduceat(own.score(words, first, tables.value), first) if len(first) else np.zeros(0)
+            columns = part.columns[:-1]
+            columns[-1] = pa.array(columns[-1].to_numpy(zero_copy_only=False) + sums)
+            yield pa.RecordBatch.from_arrays(columns, part.schema.names[:-1])
+
+    both = kept.mapInArrow(code, kept.drop("words").schema).join(sums, "row", "left")
     add = lambda a, b: F.col(a) + F.coalesce(b, F.lit(0))
     return both.select(
         "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", add("known", "k").alias("n_known"),
