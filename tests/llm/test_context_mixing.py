@@ -6,6 +6,7 @@ from collections import Counter
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -175,3 +176,70 @@ def test_words_after_any_context_sum_to_one():
     got = coder.score(every.ravel(), np.arange(0, every.size, 3), tables).reshape(-1, 3)[:, 2]
     got[-1] -= coder.other
     assert math.isclose((10**got).sum(), 1, rel_tol=1e-4)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text("ab z\xe9\x00\x1c　\x85\n\tA", max_size=12) | st.none(), max_size=6))
+def test_tokens_are_words_and_ends(texts):
+    from webtext.llm.common import words_of
+    from webtext.llm.context_mixing import tokens_of
+
+    numbers, tokens, names = tokens_of(pa.array(texts, pa.string()))
+    names = names.to_pylist()
+    assert len(set(names)) == len(names)
+    assert [names[i] for i in numbers] == [w for t in texts for w in [*words_of(t), END]]
+    assert tokens.tolist() == [len(words_of(t)) + 1 for t in texts]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.binary(min_size=1, max_size=6).map(lambda x: bytes(b"abz\xc3"[i % 4] for i in x)), min_size=1, max_size=30))
+def test_bits_in_common_are_coded_once(words):
+    """Counts, scores and steps are those of each word by itself; sorted words share all beginnings."""
+    from webtext.llm.context_mixing import Beginnings, Bits, count_bits
+
+    words = [*words, END]
+    weight = np.arange(1.0, len(words) + 1)
+    plain, counts = np.zeros((CONTEXTS, SLOTS, 2)), np.zeros(CONTEXTS * SLOTS * 2)
+    bits = Bits(words)
+    for k in range(8):
+        slots, bit = bits.slots(k)
+        for i in range(CONTEXTS):
+            np.add.at(plain[i], (slots[i], bit), weight[bits.word])
+    count_bits(counts, words, weight)
+    assert (counts == plain.ravel()).all()
+    order = sorted(words)
+    once = Beginnings(order)
+    paths = ["".join(f"{b:08b}" for b in (w if w == END else w + b" ")) for w in order]
+    assert sum(len(once.bits(k)[1]) for k in range(8)) == len({p[:i] for p in paths for i in range(1, len(p) + 1)})
+    mixer, other = Mixer(plain), Mixer(plain)
+    alone = np.concatenate([mixer.score([w]) for w in words])
+    assert np.allclose(mixer.score(words), alone, rtol=1e-6)
+    mixer.learn(words, weight, 0.2)
+    by_word = dict(zip(range(len(words)), words))
+    mixed = sorted(by_word, key=lambda i: (by_word[i], i))
+    other.learn([words[i] for i in mixed], weight[mixed], 0.2)
+    assert np.allclose(mixer.weights, other.weights, atol=1e-6) and np.allclose(mixer.seen, other.seen)
+
+
+def test_sorted_words_cost_their_new_bits():
+    """CPU time of the predictors inside words goes with the bits that are coded."""
+    from webtext.llm.context_mixing import Beginnings
+
+    rng = np.random.default_rng(8)
+    words = sorted({bytes(rng.integers(97, 123, 8).astype(np.uint8)) for _ in range(20_000)})[:2000]
+    once, coded = Beginnings(words), sum(len(w) + 1 for w in words) * 8
+    assert sum(len(once.bits(k)[1]) for k in range(8)) < 0.8 * coded
+
+
+def test_levels_of_few_words_are_met_together():
+    """Steps of few words cost few passes over the states, whatever the depth of the tree."""
+    from webtext.llm.word_contexts import Coder, lines
+
+    rng = np.random.default_rng(9)
+    count = rng.integers(1, 90, 5000).astype(float)
+    coder = Coder([b"%04d" % i for i in range(5000)], count, np.log10(count / count.sum() * 0.9), 5000)
+    tables = [lines(rng.integers(0, 9, 8 << coder.bits)) for _ in range(2)]
+    for _, leaf, deep, met in coder.paths(rng.integers(0, 5000, 500), np.array([0])):
+        pieces = list(coder.bits_of(leaf, deep, met, tables))
+        assert len(deep) > 9 and len(pieces) == 1
+        assert len(pieces[0][0]) == len(pieces[0][1]) == deep.sum()

@@ -9,7 +9,8 @@ the result is refined by a table of what came true at that probability. The prob
 of a text is the product over its bits.
 
 The contexts of these six begin anew at each word, so a word's probability by them is computed
-once for all its occurrences. What all bits of a known word would say by its own counts
+once for all its occurrences, and words are sorted, so what neighbours begin with alike is coded
+once for both. What all bits of a known word would say by its own counts
 alone is its relative frequency; the next step mixes that with the bit model's probability,
 by the weight under which the training words, each occurrence without itself, are likeliest.
 
@@ -33,14 +34,15 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from copy import copy
+from itertools import repeat
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webtext.llm.common import words_of
 from webtext.llm.word_contexts import OTHER, Coder, flat, learned
 from webtext.sources.shared import materialize
 
@@ -56,7 +58,7 @@ BATCH = 2048
 END = b"\n"
 # Words that are looked up in the task itself; all others are joined.
 COMMON = 100_000
-# Distinct words that a task counts before it passes the counts on.
+# Distinct words that a task counts before it passes the counts on, when twice as many are held with repeats.
 HELD_WORDS = 200_000
 FLOOR = 1e-6
 # Steps of words foretold in a row, and of rare words so far, at which the odds change.
@@ -76,28 +78,45 @@ def trains(key: str | Column) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 != 1, F.lit(False))
 
 
+def bytes_of(words: pa.Array) -> list[bytes]:
+    """The same as ``to_pylist``, in a twentieth of its time."""
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
+def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Words of some texts (as ``words_of`` gives them) with the end after each text's, as numbers;
+    how many each text has; what the numbers stand for."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, owner = lists.flatten(), pc.list_parent_indices(lists).to_numpy()
+    # White space at either side of a text leaves an empty word there.
+    some = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0
+    coded = words.cast(pa.binary()).filter(pa.array(some)).dictionary_encode()
+    owner, names = owner[some], pa.concat_arrays([coded.dictionary, pa.array([END], pa.binary())])
+    numbers = np.full(len(owner) + len(texts), len(names) - 1)
+    numbers[np.arange(len(owner)) + owner] = coded.indices.to_numpy()
+    return numbers, np.bincount(owner, minlength=len(texts)) + 1, names
+
+
 def word_table(docs: DataFrame) -> DataFrame:
     """``word, c``: every distinct word of all texts and the end, with its count in training
     texts (0 where it occurs in others only). Counted per task before the shuffle."""
-    schema = pa.schema([("word", pa.binary()), ("c", pa.int64())])
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[bytes, int] = {}
-
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], schema=schema)
-            counts.clear()
-            return out
+    def added_up(held: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("c", "sum")]).rename_columns({"c_sum": "c"}).select(["word", "c"])
 
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
         for part in parts:
-            for text, train in zip(*[c.to_pylist() for c in part.columns]):
-                step = int(train)
-                for w in [*words_of(text), END]:
-                    counts[w] = counts.get(w, 0) + step
-                if len(counts) > HELD_WORDS:
-                    yield flush()
-        if counts:
-            yield flush()
+            numbers, tokens, names = tokens_of(part.column("text"))
+            train = part.column("train").to_numpy(zero_copy_only=False).astype(bool)
+            c = np.bincount(numbers[np.repeat(train, tokens)], minlength=len(names))
+            held.append(pa.table([names, pa.array(c, pa.int64())], ["word", "c"]))
+            if sum(map(len, held)) > 2 * HELD_WORDS:
+                held = [added_up(held)]
+                if len(held[0]) > HELD_WORDS:
+                    yield from held.pop().to_batches()
+        if held:
+            yield from added_up(held).to_batches()
 
     seen = docs.select("text", trains("doc_id").alias("train")).mapInArrow(run, "word binary, c long")
     return seen.groupBy("word").agg(F.sum("c").alias("c"))
@@ -114,35 +133,63 @@ class Bits:
 
     def __init__(self, words: list[bytes]):
         coded = [w if w == END else w + b" " for w in words]
-        lengths = np.array([len(w) for w in coded])
-        self.data = np.frombuffer(b"".join(coded), np.uint8).astype(np.uint64)
-        self.word = np.repeat(np.arange(len(coded)), lengths)
-        n, starts = len(self.data), np.repeat(np.cumsum(lengths) - lengths, lengths)
-        place = np.arange(n) - starts
-        self.place = place
-        previous = []
-        for k in range(1, 5):
-            shifted = np.zeros(n, np.uint64)
-            shifted[k:] = self.data[:-k] if k < n else shifted[k:]
-            previous.append(np.where(place >= k, shifted, np.uint64(0)))
+        self.lengths = np.array([len(w) for w in coded])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.data = np.frombuffer(b"".join(coded), np.uint8)
+        self.word = np.repeat(np.arange(len(coded)), self.lengths)
+        self.place = np.arange(len(self.data)) - self.starts.take(self.word)
+        self.use(np.arange(len(self.data)))
+
+    def use(self, at: np.ndarray) -> None:
+        """Make the bytes ``at`` those whose bits are coded."""
+        place = self.place.take(at)
+        self.byte = self.data.take(at).astype(np.intp)
         salt = lambda i, x: (x + np.uint64(i + 1)) * K1
-        contexts, value = [salt(0, np.minimum(place, 20).astype(np.uint64))], np.zeros(n, np.uint64)
+        contexts, value = [salt(0, np.minimum(place, 20).astype(np.uint64))], np.zeros(len(at), np.uint64)
         for k in range(4):
-            value = value * np.uint64(257) + previous[k] + np.uint64(1)
+            previous = np.where(place > k, self.data.take(at - k - 1, mode="wrap"), np.uint8(0))
+            value = value * np.uint64(257) + previous + np.uint64(1)
             contexts.append(salt(k + 1, value))
         # Hash of the word so far: differences of a running sum, mixed by place in the word.
-        terms = (self.data + np.uint64(1)) * powers(place)
+        terms = (self.data + np.uint64(1)) * powers(np.arange(self.lengths.max(initial=0))).take(self.place)
         running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
-        contexts.append(salt(5, (running[:-1] - running[starts]) * K2 + place.astype(np.uint64)))
+        contexts.append(salt(5, (running.take(at) - running.take(at - place)) * K2 + place.astype(np.uint64)))
         mixed = np.stack(contexts)
         mixed = (mixed ^ (mixed >> np.uint64(29))) * K2
         self.hashes = (mixed >> np.uint64(32)).astype(np.uint32)
 
     def slots(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """For bit ``k`` (7 first): slots of the six contexts (one row each), and the bits."""
-        node = (self.data | np.uint64(256)) >> np.uint64(k + 1)
-        rows = (self.hashes ^ NODES[node.astype(np.intp)]) & np.uint32(SLOTS - 1)
-        return rows.astype(np.intp), ((self.data >> np.uint64(k)) & np.uint64(1)).astype(np.intp)
+        return slots_of(self.hashes, self.byte, k)
+
+
+def slots_of(hashes: np.ndarray, byte: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    rows = (hashes ^ NODES.take((byte | 256) >> (k + 1))) & np.uint32(SLOTS - 1)
+    return rows.astype(np.intp), byte >> k & 1
+
+
+class Beginnings(Bits):
+    """The same, with the bits that neighbours have in common, since they begin alike, once: whatever
+    looks no further back than the word's start is the same for both. Sorted words share most."""
+
+    def use(self, at: np.ndarray) -> None:
+        # What each byte has unlike the byte at its place in the word before; 256 from the first such byte on.
+        before = np.concatenate([[0], self.lengths[:-1]]).take(self.word)
+        unlike = np.where(self.place < before, self.data ^ self.data.take(at - before, mode="wrap"), np.int16(256))
+        earlier = np.cumsum(unlike != 0) - (unlike != 0)
+        unlike[earlier > earlier.take(self.starts).take(self.word)] = 256
+        # By place, then word: a bit in common has the same bit of the nearest word before it that doesn't have it so.
+        order = np.argsort(self.place.astype(np.uint32), kind="stable")
+        self.owner, unlike = self.word.take(order), unlike.take(order)
+        self.new = np.flatnonzero(unlike)
+        self.unlike = unlike.take(self.new)
+        super().use(order.take(self.new))
+
+    def bits(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Slots and bits as ``slots`` gives them, each once, and its place among all bytes: it
+        stands for these up to the next one's."""
+        own = np.flatnonzero(self.unlike >> k)
+        return *slots_of(self.hashes.take(own, axis=1), self.byte.take(own), k), self.new.take(own)
 
 
 class Mixer:
@@ -190,10 +237,11 @@ class Mixer:
     def learn(self, words: list[bytes], weight: np.ndarray, step: float) -> None:
         """One online step per bit number: what came true at each level of mixed log-odds is
         added up, then each gate's weights move along their gradient, each by its own curvature."""
-        bits = Bits(words)
-        share = weight[bits.word]
+        bits = Beginnings(words)
+        each = weight[bits.owner]
         for k in range(7, -1, -1):
-            slots, bit = bits.slots(k)
+            slots, bit, at = bits.bits(k)
+            share = np.add.reduceat(each, at)
             x, gate = self.inputs(slots, bit, 1)
             odds = self.mix(x, gate, k)
             self.seen[:, k] += np.bincount(self.level(odds) * 2 + bit, share, LEVELS * 2).reshape(LEVELS, 2)
@@ -207,29 +255,53 @@ class Mixer:
 
     def score(self, words: list[bytes]) -> np.ndarray:
         """log10 probability of each word with the space that closes it, or of the end."""
-        bits, out = Bits(words), np.zeros(len(words))
+        bits = Beginnings(words)
+        out = np.zeros(len(bits.owner))
         # By level, for bits 0 and 1: the refined probability of the bit that came is
         # ``share`` times the mixed one and ``half``.
         refine = np.stack([1 - self.refine, self.refine], axis=1).astype(np.float32)
         share, half = np.where(np.isnan(refine), np.float32(1), np.float32(0.5)), np.nan_to_num(refine) / 2
         for k in range(8):
-            slots, bit = bits.slots(k)
+            slots, bit, places = bits.bits(k)
             x, gate = self.inputs(slots, bit, 0)
             odds = self.mix(x, gate, k)
             at = self.level(odds) * 2 + bit
             p = 1 / (1 + np.exp(np.where(bit == 1, -odds, odds)))
             p = np.clip(share[:, :, k].ravel().take(at) * p + half[:, :, k].ravel().take(at), FLOOR, 1 - FLOOR)
-            out += np.bincount(bits.word, np.log(p), len(words))
-        return out / math.log(10)
+            out += np.repeat(np.log(p), np.diff(places, append=len(out)))
+        return np.bincount(bits.owner, out, len(words)) / math.log(10)
 
 
 def in_batches(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray]]:
     for part in parts:
-        words, c = part.column(0).to_pylist(), part.column(1).to_numpy().astype(float)
+        words, c = bytes_of(part.column(0)), part.column(1).to_numpy().astype(float)
         for i in range(0, len(words), BATCH):
             yield words[i : i + BATCH], c[i : i + BATCH]
 
 
+def joined(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, ``BATCH`` of them or more at a time."""
+    held: list[pa.RecordBatch] = []
+    for part in parts:
+        held.append(part)
+        if sum(x.num_rows for x in held) >= BATCH:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
+def count_bits(counts: np.ndarray, words: list[bytes], weight: np.ndarray) -> None:
+    """Add to ``counts`` (by context, slot and bit, flat) the bits of words that occur ``weight`` times."""
+    bits = Beginnings(words)
+    each = weight[bits.owner]
+    for k in range(8):
+        slots, bit, at = bits.bits(k)
+        share = np.add.reduceat(each, at)
+        for i, own in enumerate(slots):
+            np.add.at(counts[i * 2 * SLOTS : (i + 1) * 2 * SLOTS], own * 2 + bit, share)
+
+
 def learn_counts(words: DataFrame) -> np.ndarray:
     """Bit counts of all training words. Tasks count into whole tables and pass on the slots
     in use; the sum has at most ``CONTEXTS * SLOTS`` rows, whatever the corpus."""
@@ -237,13 +309,8 @@ def learn_counts(words: DataFrame) -> np.ndarray:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((CONTEXTS * SLOTS, 2))
         flat = counts.reshape(-1)
-        for batch, c in in_batches(parts):
-            bits = Bits(batch)
-            share = c[bits.word]
-            for k in range(8):
-                slots, bit = bits.slots(k)
-                at = (slots + np.arange(CONTEXTS)[:, None] * SLOTS) * 2 + bit
-                np.add.at(flat, at.ravel(), np.tile(share, CONTEXTS))
+        for batch, c in in_batches(joined(parts)):
+            count_bits(flat, batch, c)
         used = np.flatnonzero(counts.any(axis=1))
         for i in range(0, len(used), 50_000):
             part = used[i : i + 50_000]
@@ -293,7 +360,7 @@ def scored_words(words: DataFrame, mixer: Mixer, total: int, distinct: int) -> D
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Mixer(shared.value)
         own.weights, own.refine = learned, refine
-        for batch, c in in_batches(parts):
+        for batch, c in in_batches(joined(parts)):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(batch, pa.binary()), pa.array(c.astype(np.int64)), pa.array((c > 0).astype(np.int64)), pa.array(np.log10(c + 0.5) - below), pa.array(own.score(batch))],
                 ["word", "c", "known", "base", "mix"],
@@ -391,22 +458,24 @@ def score(docs: DataFrame) -> DataFrame:
         get = {w: i for i, w in enumerate(sent.value[0])}.get
         _, known, base = sent.value
         for part in parts:
-            tokens, sizes, rare, first = [], [], [], [0]
-            ids: list[int] = []
-            hashes: list[int] = []
-            for text in part.column("text").to_pylist():
-                own = [*words_of(text), END]
-                names: dict[bytes, int] = {}
-                for w in own:
-                    i = get(w)
-                    ids.append(-1 - len(rare) - names.setdefault(w, len(names)) if i is None else i)
-                rare += names
-                hashes += map(crc32, names)
-                first.append(len(rare))
-                tokens.append(len(own))
-                sizes.append(len(b" ".join(own)))
-            n, ids = len(tokens), np.array(ids, np.int64)
-            text = np.repeat(np.arange(n), tokens)
+            numbers, tokens, names = tokens_of(part.column("text"))
+            n, text = len(tokens), np.repeat(np.arange(len(tokens)), tokens)
+            sizes = np.bincount(text, pc.binary_length(names).to_numpy().take(numbers), n).astype(np.int64) + tokens - 1
+            distinct = bytes_of(names)
+            places = np.fromiter(map(get, distinct, repeat(-1)), np.int64, len(distinct))
+            ids = places.take(numbers)
+            # Rare words are numbered anew in each text.
+            at = np.flatnonzero(ids < 0)
+            _, new, again = np.unique(text[at] * len(names) + numbers[at], return_index=True, return_inverse=True)
+            order = np.argsort(new)
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            ids[at] = -1 - rank[again]
+            rare = at[new[order]]
+            first = np.concatenate([[0], np.cumsum(np.bincount(text[rare], minlength=n))])
+            hashes = np.zeros(len(names), np.int64)
+            unnamed = np.flatnonzero(places < 0)
+            hashes[unnamed] = [crc32(distinct[i]) for i in unnamed.tolist()]
             expected, hit, run_step = foretold(ids, text)
             rare_step, back, share = again_rare(ids, ~hit, text)
             asked = ~hit & (rare_step > 0)
@@ -416,16 +485,16 @@ def score(docs: DataFrame) -> DataFrame:
             static, common = ~(hit | back), ids >= 0
             sums = [np.bincount(text[common], v[ids[common]], n) for v in (known, base)]
             words = ids.copy()
-            words[~common] = OTHER | np.array(hashes, np.int64)[-1 - ids[~common]] >> 3
-            words = pa.ListArray.from_arrays(np.cumsum([0, *tokens]).astype(np.int32), np.where(static, words, ~words).astype(np.int32))
+            words[~common] = OTHER | hashes[numbers[~common]] >> 3
+            words = np.split(np.where(static, words, ~words).astype(np.int32), np.cumsum(tokens))[:n]
             times = [np.bincount(-1 - ids[m], minlength=len(rare)) for m in (~common, ~common & static)]
-            names = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), *map(pa.array, times)], ["word", "n", "m"])
+            rare = pa.StructArray.from_arrays([names.take(pa.array(numbers[rare])), *map(pa.array, times)], ["word", "n", "m"])
             whole = pa.array(np.arange(n + 1, dtype=np.int32) * steps)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"), part.column("train"), pa.array(tokens, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sums[0].astype(np.int64)),
                     pa.array(sums[1]), pa.array(np.bincount(text, share, n)), pa.ListArray.from_arrays(whole, yes), pa.ListArray.from_arrays(whole, no),
-                    pa.ListArray.from_arrays(pa.array(first, pa.int32()), names), words,
+                    pa.ListArray.from_arrays(pa.array(first, pa.int32()), rare), pa.array([w.tobytes() for w in words], pa.binary()),
                 ],
                 names_of,
             )
@@ -433,7 +502,7 @@ def score(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), trains("doc_id").alias("train"), "text").mapInArrow(
         run,
         "doc_id long, train boolean, n_tokens long, n_bytes long, known long, base double, mix double, "
-        "came array<int>, failed array<int>, rare array<struct<word:binary,n:long,m:long>>, words array<int>",
+        "came array<int>, failed array<int>, rare array<struct<word:binary,n:long,m:long>>, words binary",
     )
     rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
     seen = rows.where("train").agg(*[F.coalesce(F.sum(F.col(c)[i]), F.lit(0)) for c in ("came", "failed") for i in range(steps)]).first()

@@ -13,8 +13,9 @@ have been seen), and the result is refined by a table of what came true at that
 Counts come from all training texts. Weights and refinement are learned online in one pass
 over them, each occurrence without itself; tasks' weights are averaged.
 
-Words are numbers here: the place of a common word, ``OTHER`` with a hash for others; ``~`` of
-that for words that other predictors have coded, which are context only.
+Words are numbers here, of a text in four bytes each: the place of a common word, ``OTHER``
+with a hash for others; ``~`` of that for words that other predictors have coded, which are
+context only.
 """
 
 from __future__ import annotations
@@ -168,10 +169,12 @@ class Coder:
         for i in range(0, len(places), size):
             at = places[i : i + size]
             leaf = self.leaf.take(np.minimum(words.take(at), len(self.leaf) - 1))
-            order = np.argsort(leaf)
-            at, leaf = at[order], leaf[order]
+            bits = len(leaf).bit_length()
+            keys = np.sort(leaf << bits | np.arange(len(leaf)))
+            at, leaf = at.take(keys & ((1 << bits) - 1)), keys >> bits
             own = [c.take(at) for c in contexts]
             deep = len(leaf) - np.cumsum(np.bincount(self.tree.depth.take(leaf), minlength=len(self.tree.odds)))
+            deep = deep[: len(self.tree.odds)]
             met = []
             for code, n in zip(self.tree.codes, deep[::LINE]):
                 taken = code.take(leaf[:n])
@@ -179,17 +182,26 @@ class Coder:
             yield at, leaf, deep, met
 
     def bits_of(self, leaf: np.ndarray, deep: np.ndarray, met: list, tables: list[np.ndarray]) -> Iterator[tuple]:
-        """For each level: the log-odds by mass of the bits that came, and the
-        numbers of bit and states by ``predictors``."""
-        for level, (odds, n) in enumerate(zip(self.tree.odds, deep)):
-            within, at = level % LINE, met[level // LINE]
-            if not within:
-                first, second = (table.take(x >> LINE) for table, x in zip(tables, at))
-            path = at[0][:n] & ((1 << LINE) - 1)
-            # Nodes above in the line, then those to the left: a byte each.
-            shift = (path >> (LINE - within) << 3) + 8 * ((1 << within) - 1) if within else 0
-            bit = path >> (LINE - 1 - within) & 1
-            yield odds.take(leaf[:n]), (bit * STATES + (first[:n] >> shift & 255)) * STATES + (second[:n] >> shift & 255)
+        """For some levels at a time, one after the other: the log-odds by mass of the bits that came, the
+        numbers of bit and states by ``predictors``, and how many words go as deep as each level."""
+        held = []
+        for i, at in enumerate(met):
+            lines = [table.take(x >> LINE, mode="clip") for table, x in zip(tables, at)]
+            paths = at[0] & ((1 << LINE) - 1)
+            for level, n in enumerate(deep[i * LINE : i * LINE + LINE].tolist()):
+                path = paths[:n]
+                state = path >> (LINE - 1 - level) & 1
+                # Nodes above in the line, then those to the left: a byte each.
+                shift = (path >> (LINE - level) << 3) + 8 * ((1 << level) - 1) if level else 0
+                for line in lines:
+                    state *= STATES
+                    state += line[:n] >> shift & 255
+                held.append((self.tree.odds[i * LINE + level].take(leaf[:n], mode="clip"), state))
+            # Few words make short levels: these are met together.
+            if sum(len(x) for x, _ in held) >= WORDS or i + 1 == len(met):
+                odds, states = zip(*held)
+                yield np.concatenate(odds), np.concatenate(states), [len(x) for x in odds]
+                held = []
 
     def weighted(self, first: np.ndarray, second: np.ndarray, gate: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """By numbers as ``predictors`` gives them: the weight of the log-odds by mass, and the
@@ -213,19 +225,21 @@ class Coder:
             weight, rest = self.weighted(*by_state)
             # Added up by states first: two of the predictors and the gate depend on nothing else.
             sums = np.zeros((5, size))
-            for odds, state in self.bits_of(leaf, deep, met, tables):
-                mixed = np.clip(weight.take(state) * odds + rest.take(state), -MOST, MOST)
+            for odds, state, _ in self.bits_of(leaf, deep, met, tables):
+                mixed = np.clip(weight.take(state, mode="clip") * odds + rest.take(state, mode="clip"), -MOST, MOST)
                 came += np.bincount(level_of(mixed), minlength=len(came))
                 miss = 1 / (1 + np.exp(mixed))
                 bend = miss * (1 - miss)
                 for own, x in zip(sums, (None, miss, bend, miss * odds, bend * odds * odds)):
                     own += np.bincount(state, x, size)
-            n, miss, bend, slope, curve = sums
-            damp = DAMP * np.bincount(gate, n, GATES) + 1e-9
+            met_states = np.flatnonzero(sums[0])
+            n, miss, bend, slope, curve = sums[:, met_states]
+            own_gate = gate[met_states]
+            damp = DAMP * np.bincount(own_gate, n, GATES) + 1e-9
             rate = RATE / math.sqrt(1 + step / 20)
-            each = [(slope, curve), *((miss * x, bend * x * x) for x in (first_odds, second_odds))]
+            each = [(slope, curve), *((miss * x, bend * x * x) for x in (first_odds[met_states], second_odds[met_states]))]
             for i, (slope, curve) in enumerate(each):
-                self.weights[:, i] += np.clip(rate * np.bincount(gate, slope, GATES) / (np.bincount(gate, curve, GATES) + damp), -0.1, 0.1)
+                self.weights[:, i] += np.clip(rate * np.bincount(own_gate, slope, GATES) / (np.bincount(own_gate, curve, GATES) + damp), -0.1, 0.1)
             step += 1
         return step
 
@@ -237,9 +251,12 @@ class Coder:
         half = (self.refine / 2).astype(np.float32)
         for at, leaf, deep, met in self.paths(words, first):
             sums = np.zeros(len(at))
-            for odds, state in self.bits_of(leaf, deep, met, tables):
-                mixed = np.clip(weight.take(state) * odds + rest.take(state), -MOST, MOST)
-                sums[: len(mixed)] += np.log(np.float32(0.5) / (1 + np.exp(-mixed)) + half.take(level_of(mixed)))
+            for odds, state, counts in self.bits_of(leaf, deep, met, tables):
+                mixed = np.clip(weight.take(state, mode="clip") * odds + rest.take(state, mode="clip"), -MOST, MOST)
+                bits, end = np.log(np.float32(0.5) / (1 + np.exp(-mixed)) + half.take(level_of(mixed), mode="clip")), 0
+                for n in counts:
+                    sums[:n] += bits[end : end + n]
+                    end += n
             out[at] = sums / math.log(10) + self.added.take(np.minimum(words.take(at), len(self.added) - 1))
         return out
 
@@ -248,10 +265,11 @@ def level_of(odds: np.ndarray) -> np.ndarray:
     return np.rint(odds * 2).astype(np.intp) + LEVELS
 
 
-def flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+def flat(texts: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
     """Words of all texts of a batch, and where each text begins."""
-    ends = lists.offsets.to_numpy().astype(np.int64)
-    return lists.flatten().to_numpy().astype(np.int64), ends[:-1] - ends[0]
+    texts = texts.to_pylist()
+    sizes = np.array([len(x) for x in texts], np.int64) // 4
+    return np.frombuffer(b"".join(texts), np.int32).astype(np.int64), np.cumsum(sizes) - sizes
 
 
 def texts_of(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
